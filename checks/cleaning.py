@@ -20,11 +20,16 @@ def sql_standard(text: str) -> str:
     return f"trim(regexp_replace({folded}, '{SPACE}+', ' ', 'g'), ' ')"
 
 
+def sql_upper(text: str) -> str:
+    """Upper case with the full mapping of ß, which is SS."""
+    return f"upper(replace({text}, 'ß', 'SS'))"
+
+
 def sql_title(text: str) -> str:
     parts = rf"regexp_extract_all({text}, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+')"
     return (
         f"coalesce(list_aggregate(list_transform({parts}, "
-        "lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', ''), '')"
+        f"lambda w: {sql_upper('w[1]')} || lower(w[2:])), 'string_agg', ''), '')"
     )
 
 
@@ -127,7 +132,7 @@ def normalize_ids(t: Tables) -> DataFrame:
 
 @query(
     f"""SELECT doc_id, md5(standard) AS as_is, length(standard) AS n_chars,
-        md5(replace(upper(standard), 'ß', 'SS')) AS upper_case, md5({sql_title('standard')}) AS title_case
+        md5({sql_upper('standard')}) AS upper_case, md5({sql_title('standard')}) AS title_case
     FROM (SELECT doc_id, {sql_standard('text')} AS standard FROM documents) s"""
 )
 def standardize_text(t: Tables) -> DataFrame:

@@ -6,7 +6,7 @@ from probity import functions as P
 from probity.operators import linking as L
 from probity.operators.fuzzy import best_matches
 
-from .cleaning import sql_company, sql_uuid5
+from .cleaning import sql_company, sql_upper, sql_uuid5
 from .registered import Tables, query
 from .sources import pad
 
@@ -57,7 +57,7 @@ FUZZY_LINKS = f"""
         FROM (SELECT *, {sql_company('nombre_empresa')} AS norm FROM sanctions) n) r ON r.norm = f.match AND r.k = 1"""
 EXACT_LINKS = f"""
     SELECT DISTINCT {sql_uuid5('p.dni')} AS global_id, b.nombre_empresa AS empresa_candidato,
-        s.nombre_empresa AS osce_sancionada_match, 1.0 AS osce_match_score, s.ruc AS ruc_sancionado, s.tipo_sancion,
+        s.nombre_empresa AS osce_sancionada_match, 1e0 AS osce_match_score, s.ruc AS ruc_sancionado, s.tipo_sancion,
         'DETERMINISTIC' AS osce_match_method, 'https://apps.osce.gob.pe/perfilprov-ui/ficha/' || s.ruc AS fup_url
     FROM people p JOIN company_links b ON p.dni = b.numero_documento JOIN sanctions s ON s.ruc = b.ruc"""
 
@@ -88,13 +88,13 @@ def _words(t: Tables, table: str) -> DataFrame:
 
 
 @query(
-    """SELECT name, match, score FROM (
+    f"""SELECT name, match, score FROM (
         SELECT q.name, r.name AS match, round(jaro_winkler_similarity(q.name, r.name), 12) AS score,
             row_number() OVER (PARTITION BY q.name
                 ORDER BY round(jaro_winkler_similarity(q.name, r.name), 12) DESC, r.name) AS k
-        FROM (SELECT DISTINCT unnest(regexp_split_to_array(upper(replace(text, 'ß', 'SS')), '[^A-Z]+')) AS name
+        FROM (SELECT DISTINCT unnest(regexp_split_to_array({sql_upper('text')}, '[^A-Z]+')) AS name
                 FROM conversations) q,
-            (SELECT DISTINCT unnest(regexp_split_to_array(upper(replace(text, 'ß', 'SS')), '[^A-Z]+')) AS name
+            (SELECT DISTINCT unnest(regexp_split_to_array({sql_upper('text')}, '[^A-Z]+')) AS name
                 FROM benchmark) r
         WHERE length(q.name) >= 3 AND length(r.name) > 0
             AND round(jaro_winkler_similarity(q.name, r.name), 12) >= 0.92) s

@@ -35,7 +35,7 @@ SCORED = f"""
             WHEN mad = 0 THEN CASE WHEN ratio > med THEN 0.0 ELSE 100.0 END
             ELSE 100.0 - greatest(least((ratio - med) / (mad * {S.MAD_TO_SIGMA}), 3.0), 0.0) * (100.0 / 3.0)
         END AS score_financiero,
-        CASE conteo_sentencias WHEN 0 THEN 100.0 WHEN 1 THEN 50.0 ELSE 0.0 END AS score_legal,
+        CASE conteo_sentencias WHEN 0 THEN 1e2 WHEN 1 THEN 5e1 ELSE 0e0 END AS score_legal,
         greatest(100.0 - cantidad_renuncias / (experiencia_publica_anios + 1.0) * 100.0, 0.0) AS score_estabilidad
     FROM (SELECT f.*, med, mad,
             CASE WHEN NOT (ingresos_totales = 0 AND experiencia_publica_anios = 0)

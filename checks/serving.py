@@ -127,7 +127,7 @@ def page_after_key(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT count(*) AS total, 100 AS "limit", 900 AS "offset", 900 + 100 < count(*) AS has_next FROM customer"""
+    """SELECT count(*) AS total, CAST(100 AS BIGINT) AS "limit", CAST(900 AS BIGINT) AS "offset", 900 + 100 < count(*) AS has_next FROM customer"""
 )
 def page_envelope(t: Tables) -> DataFrame:
     return G.page_info(t.customer, limit=500, offset=900)

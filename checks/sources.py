@@ -228,7 +228,7 @@ SILVER_SQL = f"""SELECT dni, nombres, apellido_paterno, apellido_materno, fecha_
         CAST(n_chars AS DOUBLE) + doc_id + 0.5 AS ingresos_totales,
         CAST(CASE WHEN lang <> 'de' THEN len(lines) ELSE 0 END + 1 AS BIGINT) AS cantidad_bienes,
         CASE WHEN lang <> 'de' THEN list_sum(list_transform(lines, lambda l:
-            length(l) + CASE WHEN length(l) % 2 = 0 THEN 1.5 ELSE 0 END)) ELSE 0 END + 10.0 AS valor_total_bienes,
+            length(l) + CASE WHEN length(l) % 2 = 0 THEN 1.5e0 ELSE 0 END)) ELSE 0 END + 1e1 AS valor_total_bienes,
         CAST(CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS conteo_sentencias,
         CAST(list_sum(list_transform(lines, lambda l: CASE WHEN length(l) % 3 <> 0 THEN 0
             WHEN length(l) % 2 = 0 THEN 2 ELSE 1 END)) AS BIGINT) AS experiencia_publica_anios,
@@ -286,7 +286,7 @@ def resumes_to_silver(t: Tables) -> DataFrame:
         CASE WHEN doc_id % 4 = 0 THEN CAST(doc_id AS VARCHAR) ELSE CAST(doc_id AS VARCHAR) || '00000000' END AS dni,
         upper(source) AS apellido_paterno, 'o''brien-núñez' AS apellido_materno, ' josé  ' || lang AS nombres,
         'partido ' || source AS partido, 'SENADOR nacional' AS cargo_postulacion,
-        0.0 AS total_ingresos,
+        0e0 AS total_ingresos,
         CAST(CASE WHEN lang <> 'de' THEN len({RESUME_LINES}) ELSE 0 END AS BIGINT) AS num_propiedades,
         doc_id % 3 = 0 AS tiene_antecedentes
     FROM documents"""
@@ -299,7 +299,7 @@ def candidate_summaries(t: Tables) -> DataFrame:
 @query(
     f"""SELECT doc_id, CAST(len(lines) AS BIGINT) AS n,
         list_aggregate(list_transform(lines, lambda l: CAST(length(l) AS VARCHAR)), 'string_agg', ';') AS valores,
-        list_sum(list_transform(lines, lambda l: CASE WHEN length(l) % 2 = 0 THEN 1.5 ELSE 0.0 END)) AS autovaluos
+        list_sum(list_transform(lines, lambda l: CASE WHEN length(l) % 2 = 0 THEN 1.5e0 ELSE 0e0 END)) AS autovaluos
     FROM (SELECT doc_id, CASE WHEN lang <> 'de' THEN {RESUME_LINES} ELSE [] END AS lines FROM documents) d"""
 )
 def section_renames(t: Tables) -> DataFrame:

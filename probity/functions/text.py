@@ -37,8 +37,13 @@ def strip_spaces(text: ColumnOrName) -> Column:
 
 def title_case(text: ColumnOrName) -> Column:
     """Capital after every character that is neither letter nor digit: ``O'Brien``."""
+
+    def capitalize(piece: Column) -> Column:
+        # not initcap, which would make "Ss" of a leading ß
+        return F.concat(F.upper(F.substring(piece, 1, 1)), F.lower(F.substr(piece, F.lit(2))))
+
     pieces = F.regexp_extract_all(as_column(text), F.lit(_WORD_OR_GAP), F.lit(1))
-    return F.array_join(F.transform(pieces, F.initcap), "")
+    return F.array_join(F.transform(pieces, capitalize), "")
 
 
 def standardize_text(text: ColumnOrName, casing: str = "upper") -> Column:
