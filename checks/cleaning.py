@@ -6,6 +6,7 @@ from probity import functions as P
 from probity.functions.text import ACCENTED_VOWELS, LEGAL_FORMS, PLAIN_VOWELS
 from probity.operators.conform import first_per_key, rename_fields, stack
 from probity.operators.risk import add_plan_context
+from probity.sources.layers import spread
 
 from .registered import Tables, query
 
@@ -136,7 +137,7 @@ def normalize_ids(t: Tables) -> DataFrame:
     FROM (SELECT doc_id, {sql_standard('text')} AS standard FROM documents) s"""
 )
 def standardize_text(t: Tables) -> DataFrame:
-    return t.documents.select(
+    return spread(t.documents).select(
         "doc_id",
         F.md5(P.standardize_text("text", "none")).alias("as_is"),
         F.length(P.standardize_text("text", "none")).cast("bigint").alias("n_chars"),

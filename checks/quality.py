@@ -101,8 +101,5 @@ def quality_contract(t: Tables) -> DataFrame:
     """SELECT doc_id, lang, doc_id IN (SELECT doc_id FROM labels) AS labelled FROM documents"""
 )
 def known_references(t: Tables) -> DataFrame:
-    known, unknown = Q.keep_known(t.documents.select("doc_id", "lang"), "doc_id", t.labels, "doc_id")
-    return known.withColumn("labelled", F.lit(True)).unionByName(
-        unknown.withColumn("labelled", F.lit(False))
-    )
+    return Q.mark_known(t.documents.select("doc_id", "lang"), "doc_id", t.labels, "doc_id", "labelled")
 

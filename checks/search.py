@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from probity.operators import search as V
+from probity.sources.layers import spread
 
 from .registered import Tables, query
 
@@ -87,7 +88,7 @@ def search_corpus(t: Tables) -> DataFrame:
 @query()
 def text_search(t: Tables) -> DataFrame:
     """Documents closest to the text of a benchmark item."""
-    plans = V.corpus(t.documents.withColumnRenamed("text", "search_context"))
+    plans = V.corpus(spread(t.documents).withColumnRenamed("text", "search_context"))
     encoder = V.HashedTermEncoder.fit(plans, "search_context")
     vectors = encoder.encode(plans, "search_context").select("doc_id", "embedding")
     asked = t.benchmark.agg(F.min("text")).first()[0]
@@ -97,7 +98,7 @@ def text_search(t: Tables) -> DataFrame:
 @query()
 def text_search_batch(t: Tables) -> DataFrame:
     """Documents closest to each benchmark item."""
-    plans = V.corpus(t.documents.withColumnRenamed("text", "search_context"))
+    plans = V.corpus(spread(t.documents).withColumnRenamed("text", "search_context"))
     encoder = V.HashedTermEncoder.fit(plans, "search_context")
     vectors = encoder.encode(plans, "search_context").select("doc_id", "embedding")
     asked = encoder.encode(t.benchmark, "text").select("item_id", "embedding")

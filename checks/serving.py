@@ -103,18 +103,11 @@ def page(t: Tables) -> DataFrame:
     return G.page(_ranked(t), "global_id", offset=40)
 
 
-@query(
-    "SELECT l_key, l_extendedprice FROM lines ORDER BY l_key DESC LIMIT 100 OFFSET 31000",
-    lines="SELECT l_orderkey * 10 + l_linenumber AS l_key, l_extendedprice FROM (SELECT l_orderkey, l_linenumber, "
-    "max(l_extendedprice) AS l_extendedprice FROM {lineitem} GROUP BY 1, 2) g",
-)
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey DESC LIMIT 100 OFFSET 1100")
 def deep_page(t: Tables) -> DataFrame:
     """A page far down, found by counting key ranges instead of holding all rows before it."""
-    lines = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(
-        F.max("l_extendedprice").alias("l_extendedprice")
-    )
-    keyed = lines.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("l_key"), "l_extendedprice")
-    return G.page(keyed, "l_key", limit=100, offset=31000, descending=True, shallow=5000)
+    orders = t.orders.select("o_orderkey", "o_totalprice")
+    return G.page(orders, "o_orderkey", limit=100, offset=1100, descending=True, shallow=200)
 
 
 @query(

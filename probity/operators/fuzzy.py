@@ -32,6 +32,7 @@ BROADCAST_NAMES = 20_000
 BROADCAST_BYTES = 4 << 20
 CELL_ROWS = 20_000
 PAIRS_PER_TASK = 50_000_000
+MAX_TASKS = 20_000
 
 _CLASSES = 64  # characters are counted by code point modulo this: one bit each in a mask
 _MASKS = 4  # mask k holds the characters that occur at least k times
@@ -65,9 +66,10 @@ def best_matches(
     n_names, longest_name, _ = _size(names)
     n_choices, longest_choice, choice_bytes = _size(choices)
     bands = _length_bands(max(longest_name, longest_choice))
-    tasks = max(names.sparkSession.sparkContext.defaultParallelism, n_names * n_choices // PAIRS_PER_TASK)
     # names are light and comparing them is not, so they are spread by work and not by bytes
-    rest = rest.repartition(int(min(tasks, max(n_names, 1))), "name")
+    cores = names.sparkSession.sparkContext.defaultParallelism
+    tasks = min(max(cores, n_names * n_choices // PAIRS_PER_TASK), MAX_TASKS)
+    rest = rest.repartition(min(tasks, max(n_names, 1)), "name")
     if n_choices <= broadcast_names and choice_bytes <= BROADCAST_BYTES:
         pairs = _pairs_by_length(rest, choices, threshold, bands)
     else:

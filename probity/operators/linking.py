@@ -7,7 +7,7 @@ from pyspark.sql.types import ArrayType, StructType
 
 from probity import functions as P
 from probity.schemas import MATCHES
-from probity.sources.layers import empty
+from probity.sources.layers import empty, stage
 
 from .conform import align, first_per_key
 from .fuzzy import best_matches
@@ -63,6 +63,7 @@ def fuzzy_links(
         .distinct()
         .withColumn("name", P.normalize_company("empresa_candidato"))
     )
+    claims = stage(claims, "claims")
     registry = first_per_key(
         sanctions.select(
             F.col("nombre_empresa_norm").alias("match"),
@@ -103,6 +104,8 @@ def company_matches(
         exact = deterministic_links(people, company_links, sanctions, id_column)
     if company_column not in people.columns:
         return exact
+    # read twice below: as a result, and to find who is left
+    exact = stage(exact, "exact-links")
     open_people = people.join(exact.select("global_id").distinct(), "global_id", "left_anti")
     return exact.unionByName(fuzzy_links(open_people, sanctions, company_column, threshold))
 

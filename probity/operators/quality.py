@@ -103,7 +103,13 @@ def enforce_quality(
     return valid_rows(classified), report
 
 
-def keep_known(df: DataFrame, column: str, known: DataFrame, known_column: str) -> tuple[DataFrame, DataFrame]:
-    """Referential rule: rows whose value is known, and the others."""
+def mark_known(
+    df: DataFrame, column: str, known: DataFrame, known_column: str, flag: str = "is_known"
+) -> DataFrame:
+    """Referential rule: whether the value of a column occurs in a table of known ones.
+
+    One join marks all rows; routing them is a filter on the mark.
+    """
     keys = known.select(F.col(known_column).alias(column)).where(F.col(column).isNotNull()).distinct()
-    return df.join(keys, column, "left_semi"), df.join(keys, column, "left_anti")
+    marked = df.join(keys.withColumn(flag, F.lit(True)), column, "left")
+    return marked.withColumn(flag, F.coalesce(flag, F.lit(False)))

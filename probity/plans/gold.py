@@ -62,5 +62,5 @@ def build_gold(
         changes = log_changes(
             read_layer(spark, gold_path), gold, audit_path, ["global_id", "source_category"]
         )
-    write_layer(gold, gold_path)
+    write_layer(gold, gold_path, sort_by="global_id")
     return GoldRun(read_layer(spark, gold_path), changes)

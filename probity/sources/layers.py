@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 COMPRESSION = "zstd"
+FEW_PIECES = 32
 _MISSING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
@@ -35,7 +36,13 @@ def read_layer(spark: SparkSession, path: str, schema: StructType | None = None)
         return empty(spark, schema)
 
 
-def write_layer(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
+def write_layer(
+    df: DataFrame, path: str, partition_by: Iterable[str] = (), sort_by: str | None = None
+) -> None:
+    """Replaces a layer. ``sort_by`` lays it out by ranges of a key, so that lookups and pages
+    by that key read only the row groups whose statistics match."""
+    if sort_by is not None:
+        df = df.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
     df.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*partition_by).parquet(path)
 
 
@@ -65,6 +72,22 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{work_folder(spark)}/{name}-{uuid4().hex}"
 
 
+def drop_work(spark: SparkSession) -> None:
+    """Deletes what this application staged; tables read back from it end with it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Gives work that is heavy per row enough tasks when its input comes in few pieces.
+
+    A small file is one task however long its texts take. Tables of many pieces, and so all
+    large ones, are left as they are.
+    """
+    enough = min(df.sparkSession.sparkContext.defaultParallelism, FEW_PIECES)
+    return df.repartition(enough) if df.rdd.getNumPartitions() < enough else df
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes an intermediate once and reads it back.
 

@@ -6,6 +6,7 @@ from collections import defaultdict
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -161,7 +162,7 @@ def read_consortia(
         kind = "parquet" if path.endswith(".parquet") else "csv"
         try:
             groups[kind, tuple(_scan(spark, kind, [path], sep).columns)].append(path)
-        except PySparkException:
+        except (PySparkException, Py4JJavaError):
             skipped.append(path)
     frames = []
     for (kind, header), paths in groups.items():
