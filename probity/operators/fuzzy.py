@@ -73,6 +73,7 @@ def best_matches(
     if n_choices <= broadcast_names and choice_bytes <= BROADCAST_BYTES:
         pairs = _pairs_by_length(rest, choices, threshold, bands)
     else:
+        choices = choices.repartition(min(tasks, max(n_choices, 1)), "name")
         pairs = _pairs_by_token(rest, choices, threshold, bands, cell_rows, tasks)
     scored = pairs.select("name", "match", jaro_winkler("name", "match").alias("score"))
     best = (
@@ -122,9 +123,20 @@ def _own_band(bands: Column) -> Column:
     return F.filter(bands, lambda b: F.col("n").between(b["lo"], b["hi"]))[0]["i"]
 
 
+def _shortest_partner(bound: float) -> Column:
+    return F.ceil(F.col("n") * F.lit(bound - 1) - _TOLERANCE).cast("int")
+
+
+def _spare(bound: float, partner_length: Column) -> Column:
+    """How many characters may stay without partner, next to a name of at least this length."""
+    n = F.col("n")
+    common = F.ceil(F.lit(bound) * n * partner_length / (n + partner_length) - _TOLERANCE)
+    return (n - common).cast("int")
+
+
 def _partner_bands(bands: Column, bound: float) -> Column:
     """Bands that hold a possible partner, with the shortest possible length in each."""
-    shortest = F.ceil(F.col("n") * F.lit(bound - 1) - _TOLERANCE).cast("int")
+    shortest = _shortest_partner(bound)
     longest = F.floor(F.col("n") / F.lit(bound - 1) + _TOLERANCE).cast("int")
     reachable = F.filter(bands, lambda b: (b["hi"] >= shortest) & (b["lo"] <= longest))
     return F.transform(
@@ -168,43 +180,78 @@ def _signatures(names: DataFrame) -> DataFrame:
     parts = names.select(
         "name",
         F.length("name").alias("n"),
-        F.substring("name", 1, 1).alias("head"),
-        F.substring("name", 1, PREFIX_LENGTH).alias("head4"),
+        _head(),
         _classes(F.col("name")).alias("classes"),
         _classes(F.expr("substring(name, 2)")).alias("rest"),
     ).withColumns({"codes": _token_codes("classes"), "rest_codes": _token_codes("rest")})
     masks = [mask(k).alias(f"mask{k}") for k in range(_MASKS)]
-    return parts.select("name", "n", "head", "head4", "codes", "rest_codes", *masks)
+    return parts.select("name", "n", "head", "codes", "rest_codes", *masks)
+
+
+def _head() -> Column:
+    """The first characters in one number, sixteen bits of each; the first is the lowest."""
+    packed = F.lit(0).cast("bigint")
+    for place in range(PREFIX_LENGTH):
+        character = F.ascii(F.substring("name", place + 1, 1)).cast("bigint")
+        packed = packed.bitwiseOR(F.shiftleft(character.bitwiseAND(F.lit(0xFFFF)), 16 * place))
+    return packed.alias("head")
 
 
 def _can_pass(threshold: float) -> Column:
-    """Whether the bags of two names share enough, from the masks of both sides.
+    """Whether the bags of two names share enough to reach the threshold.
 
-    A bit set on one side only is at least one character without partner, so the shared
-    characters are never underrated.
+    A bit set in the masks of one side only is at least one character without partner, so
+    the shared characters are never underrated. They are held against what the key allows,
+    which is whole numbers and drops nearly all, then against the exact lengths and starts.
     """
 
-    def shared(this: str, that: str) -> Column:
-        alone = [
+    def alone(this: str, that: str) -> Column:
+        bits = [
             F.bit_count(
                 F.col(f"{this}.mask{k}").bitwiseAND(F.bitwise_not(F.col(f"{that}.mask{k}")))
             )
             for k in range(_MASKS)
         ]
-        return F.col(f"{this}.n") - sum(alone[1:], alone[0])
+        return sum(bits[1:], bits[0])
+
+    allowed = (alone("q", "r") <= F.col("q.spare")) & (alone("r", "q") <= F.col("r.spare"))
 
     a, b = F.col("q.n"), F.col("r.n")
-    bound = (
-        F.when(F.col("q.family") == 0, _common_bound(threshold, 0))
-        .when(F.col("q.head4") == F.col("r.head4"), _common_bound(threshold, PREFIX_LENGTH))
-        .otherwise(_common_bound(threshold, PREFIX_LENGTH - 1))
-    )
-    enough = F.least(shared("q", "r"), shared("r", "q")) * (a + b) >= (bound - _TOLERANCE) * a * b
-    return ((F.col("q.family") == 1) | (F.col("q.head") != F.col("r.head"))) & enough
+    differs = F.col("q.head").bitwiseXOR(F.col("r.head"))
+
+    def other_start(length: int) -> Column:
+        return differs.bitwiseAND(F.lit((1 << 16 * length) - 1)) != 0
+
+    bound = F.when(other_start(1), _common_bound(threshold, 0))
+    for prefix in range(1, PREFIX_LENGTH - 1):
+        bound = bound.when(other_start(prefix + 1), _common_bound(threshold, prefix))
+    bound = bound.when(differs != 0, _common_bound(threshold, PREFIX_LENGTH - 1))
+    bound = bound.otherwise(_common_bound(threshold, PREFIX_LENGTH)) - _TOLERANCE
+
+    enough = F.least(a - alone("q", "r"), b - alone("r", "q")) * (a + b) >= bound * a * b
+    return allowed & ((F.col("q.family") == 1) | other_start(1)) & enough
+
 
+def _key(family: int, *parts: Column) -> Column:
+    """Family, first character where it is shared, and further parts as one number.
 
-def _family_head(family: int) -> Column:
-    return F.col("head") if family else F.lit("")
+    Two keys of one hash only let a few pairs meet that the test then drops.
+    """
+    first = F.col("head").bitwiseAND(F.lit(0xFFFF)) if family else F.lit(-1)
+    return F.xxhash64(F.lit(family), first, *parts)
+
+
+def _place(family: int, key: Column, spare: Column) -> Column:
+    return F.struct(F.lit(family).alias("family"), key.alias("key"), spare.alias("spare"))
+
+
+def _unfolded(names: DataFrame, places: Column) -> DataFrame:
+    """One row per name and place, holding what the pair test needs.
+
+    None of it is ever null, and saying so spares the test a check per value.
+    """
+    rows = names.select("name", "n", "head", *[f"mask{k}" for k in range(_MASKS)], F.inline(places))
+    return rows.select("name", *[F.coalesce(c, F.lit(0)).alias(c) for c in rows.columns[1:]])
 
 
 # ---------------------------------------------------------------- small registry
@@ -214,52 +261,45 @@ def _pairs_by_length(names: DataFrame, choices: DataFrame, threshold: float, ban
     """Registry of checked size: broadcast, looked up by family, head and length band."""
     band_list = _band_literal(bands)
 
-    def place(family: int, band: Column) -> Column:
-        return F.struct(
-            F.lit(family).alias("family"), _family_head(family).alias("block"), band.alias("band")
+    def wanted(family: int, bound: float) -> Column:
+        return F.transform(
+            _partner_bands(band_list, bound),
+            lambda b: _place(family, _key(family, b["i"]), _spare(bound, b["length"])),
         )
 
-    def wanted(family: int, bound: float) -> Column:
-        return F.transform(_partner_bands(band_list, bound), lambda b: place(family, b["i"]))
+    def offered(family: int, bound: float) -> Column:
+        return _place(family, _key(family, _own_band(band_list)), _spare(bound, _shortest_partner(bound)))
 
     families = _families(threshold)
-    offered = F.array(*[place(family, _own_band(band_list)) for family, _ in families])
-    kept = ["name", "n", "head", "head4", *[f"mask{k}" for k in range(_MASKS)]]
-    q = names.select(*kept, F.inline(F.concat(*[wanted(*f) for f in families])))
-    r = choices.select(*kept, F.inline(offered))
-    keys = [F.col(f"q.{k}") == F.col(f"r.{k}") for k in ("family", "block", "band")]
-    met = q.alias("q").join(F.broadcast(r).alias("r"), [*keys, _can_pass(threshold)])
+    q = _unfolded(names, F.concat(*[wanted(*f) for f in families]))
+    r = _unfolded(choices, F.array(*[offered(*f) for f in families])).drop("family")
+    met = q.alias("q").join(F.broadcast(r).alias("r"), [F.col("q.key") == F.col("r.key"), _can_pass(threshold)])
     return met.select(F.col("q.name").alias("name"), F.col("r.name").alias("match"))
 
 
 # ---------------------------------------------------------------- large registry
 
-_KEY = ["family", "block", "q_band", "r_band", "token"]
-
-
 def _pairs_by_token(
     names: DataFrame, choices: DataFrame, threshold: float, bands, cell_rows: int, tasks: int
 ) -> DataFrame:
     """Registry of any size: both sides shuffled by prefix-filter keys."""
     ranks = _token_ranks(choices)
-    q = _keyed(names, threshold, bands, ranks, own="q_band", partner="r_band")
-    r = _keyed(choices, threshold, bands, ranks, own="r_band", partner="q_band")
+    q = _keyed(names, threshold, bands, ranks, names_first=True)
+    r = _keyed(choices, threshold, bands, ranks, names_first=False).drop("family")
 
-    q_count = q.groupBy(*_KEY).agg(F.count("*").alias("q_rows"))
-    r_count = r.groupBy(*_KEY).agg(F.count("*").alias("r_rows"))
+    q_count = q.groupBy("key").agg(F.count("*").alias("q_rows"))
+    r_count = r.groupBy("key").agg(F.count("*").alias("r_rows"))
     cells = (F.ceil(F.col("q_rows") / cell_rows).cast("int"), F.ceil(F.col("r_rows") / cell_rows).cast("int"))
     hot = stage(
-        q_count.join(r_count, _KEY)
-        .select(*_KEY, cells[0].alias("q_cells"), cells[1].alias("r_cells"))
+        q_count.join(r_count, "key")
+        .select("key", cells[0].alias("q_cells"), cells[1].alias("r_cells"))
         .where("q_cells > 1 OR r_cells > 1"),
         "hot-keys",
     )
     q = _spread(q, hot, own="q_cell", own_cells="q_cells", other="r_cell", other_cells="r_cells")
     r = _spread(r, hot, own="r_cell", own_cells="r_cells", other="q_cell", other_cells="q_cells")
-    place = [*_KEY, "q_cell", "r_cell"]
-    q, r = q.repartition(tasks, *place), r.repartition(tasks, *place)
-    keys = [F.col(f"q.{k}") == F.col(f"r.{k}") for k in place]
-    met = q.alias("q").join(r.alias("r"), [*keys, _can_pass(threshold)])
+    q, r = q.repartition(tasks, "key"), r.repartition(tasks, "key")
+    met = q.alias("q").join(r.alias("r"), [F.col("q.key") == F.col("r.key"), _can_pass(threshold)])
     # a pair can meet at several tokens
     return met.select(F.col("q.name").alias("name"), F.col("r.name").alias("match")).distinct()
 
@@ -278,11 +318,8 @@ def _token_ranks(choices: DataFrame) -> Column:
     return F.expr(f"array({', '.join(str(place[code]) for code in range(len(codes)))})")
 
 
-def _keyed(
-    names: DataFrame, threshold: float, bands, ranks: Column, own: str, partner: str
-) -> DataFrame:
+def _keyed(names: DataFrame, threshold: float, bands, ranks: Column, names_first: bool) -> DataFrame:
     band_list = _band_literal(bands)
-    n = F.col("n")
 
     def ranked(codes: Column) -> Column:
         return F.sort_array(F.transform(codes, lambda c: F.get(ranks, c)))
@@ -292,42 +329,36 @@ def _keyed(
         tokens = F.col("rest_tokens" if family else "tokens")
 
         def of_band(b: Column) -> Column:
-            common = F.ceil(F.lit(bound) * n * b["length"] / (n + b["length"]) - _TOLERANCE)
-            prefix = F.greatest(n - common + 1, F.lit(0)).cast("int")
+            lengths = (F.col("band"), b["i"]) if names_first else (b["i"], F.col("band"))
+            spare = _spare(bound, b["length"])
             return F.transform(
-                F.array_distinct(F.slice(tokens, 1, prefix)),
-                lambda token: F.struct(
-                    F.lit(family).alias("family"),
-                    _family_head(family).alias("block"),
-                    F.col("band").alias(own),
-                    b["i"].alias(partner),
-                    token.alias("token"),
-                ),
+                F.array_distinct(F.slice(tokens, 1, F.greatest(spare + 1, F.lit(0)))),
+                lambda token: _place(family, _key(family, *lengths, token), spare),
             )
 
         return F.flatten(F.transform(_partner_bands(band_list, bound), of_band))
 
-    kept = ["name", "n", "head", "head4", *[f"mask{k}" for k in range(_MASKS)]]
     ready = names.select(
-        *kept,
+        "*",
         _own_band(band_list).alias("band"),
         ranked(F.col("codes")).alias("tokens"),
         ranked(F.col("rest_codes")).alias("rest_tokens"),
     )
-    return ready.select(*kept, F.inline(F.concat(*[keys(*f) for f in _families(threshold)])))
+    return _unfolded(ready, F.concat(*[keys(*f) for f in _families(threshold)]))
 
 
 def _spread(
     side: DataFrame, hot: DataFrame, own: str, own_cells: str, other: str, other_cells: str
 ) -> DataFrame:
-    """Places rows of a hot key in one line of its grid of cells; other keys have one cell."""
+    """Places rows of a hot key in one line of its grid of cells; other keys stay as they are."""
     cells = F.coalesce(own_cells, F.lit(1))
     line = F.sequence(F.lit(0), F.coalesce(other_cells, F.lit(1)) - 1)
-    return (
-        side.join(hot, _KEY, "left")
+    placed = (
+        side.join(hot, "key", "left")
         .withColumn(own, F.pmod(F.xxhash64("name"), cells).cast("int"))
         .withColumn(other, F.explode(line))
-        .drop(own_cells, other_cells)
     )
+    cell_key = F.when(F.col(own_cells).isNull(), F.col("key")).otherwise(F.xxhash64("key", "q_cell", "r_cell"))
+    return placed.withColumn("key", cell_key).drop(own, other, own_cells, other_cells)
 
 
