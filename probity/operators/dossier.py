@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from probity import functions as P
 
+from .conform import stack
+
 SANCTION_FIELDS = (
     "ruc",
     "nombre_empresa",
@@ -35,47 +37,47 @@ def company_dossiers(
 ) -> DataFrame:
     """One row per company found in any feed: name, page, counts and flags.
 
-    The feeds are stacked as marked rows and aggregated once, so each row is reduced
-    before the one shuffle and no outer join is needed. The sanctions themselves stay
-    rows (:func:`dossier_sanctions`): a list per company would gather any number of them
-    in one task. The name comes from the sanctions, else from the company links.
+    Each feed is counted by company first, map-side and without sorting its rows. What is
+    left, at most one row per company and feed, is stacked and aggregated again, so no
+    outer join is needed. The sanctions themselves stay rows (:func:`dossier_sanctions`):
+    a list per company would gather any number of them in one task. The name comes from
+    the sanctions, else from the penalties, else from the company links.
     """
 
-    def marks(df: DataFrame, kind: str, name: str | None = None) -> DataFrame:
-        text = F.col(name) if name else F.lit(None)
-        return df.select("ruc", F.lit(kind).alias("kind"), text.cast("string").alias("name"))
+    def counted(rows: DataFrame, feed: str) -> DataFrame:
+        return rows.where(F.col("ruc").isNotNull()).groupBy("ruc").agg(F.count("*").alias(feed))
+
+    def named(rows: DataFrame, feed: str) -> DataFrame:
+        known = rows.where(F.col("ruc").isNotNull() & F.col("nombre_empresa").isNotNull())
+        return known.groupBy("ruc").agg(F.min("nombre_empresa").alias(f"{feed}_name"))
 
-    feeds = [
-        marks(sanctions, "sanction", "nombre_empresa"),
-        marks(penalties, "penalty", "nombre_empresa"),
-        marks(consortium_roles(consortia), "consortium"),
+    parts = [
+        counted(sanctions, "sanction"),
+        counted(penalties, "penalty"),
+        counted(consortium_roles(consortia), "consortium"),
+        named(sanctions, "sanction"),
+        named(penalties, "penalty"),
     ]
     if company_links is not None:
-        feeds.append(marks(company_links, "link", "nombre_empresa"))
-    rows = feeds[0]
-    for feed in feeds[1:]:
-        rows = rows.unionByName(feed)
-
-    def count(kind: str):
-        return F.count_if(F.col("kind") == kind)
-
-    def name_from(kind: str):
-        return F.min(F.when(F.col("kind") == kind, F.col("name")))
-
-    counted = (
-        rows.where(F.col("ruc").isNotNull())
-        .groupBy("ruc")
+        parts.append(named(company_links, "link"))
+    stacked = stack(parts, "diagonal")
+    names = [f"{feed}_name" for feed in ("sanction", "penalty", "link") if f"{feed}_name" in stacked.columns]
+    found = (
+        stacked.groupBy("ruc")
         .agg(
-            F.coalesce(name_from("sanction"), name_from("penalty"), name_from("link")).alias(
-                "nombre_empresa"
-            ),
-            count("sanction").alias("total_sanciones"),
-            count("penalty").alias("total_penalidades"),
-            count("consortium").alias("total_consorcios"),
+            F.coalesce(*[F.min(name) for name in names]).alias("nombre_empresa"),
+            *[
+                F.coalesce(F.sum(feed), F.lit(0)).alias(total)
+                for feed, total in (
+                    ("sanction", "total_sanciones"),
+                    ("penalty", "total_penalidades"),
+                    ("consortium", "total_consorcios"),
+                )
+            ],
         )
         .where("total_sanciones + total_penalidades + total_consorcios > 0")
     )
-    return counted.select(
+    return found.select(
         "ruc",
         P.supplier_page("ruc").alias("fup_url"),
         "nombre_empresa",

@@ -190,3 +190,11 @@ def test_best_link_has_a_total_order(spark):
     ).withColumn("fup_url", L.F.lit("u"))
     best = L.best_match_per_person(matches).collect()
     assert [(r.osce_match_method, r.ruc_sancionado) for r in best] == [("DETERMINISTIC", "8")]
+
+
+def test_copies_are_gone_before_the_joins(spark, company_links, sanctions):
+    people = spark.range(3000).selectExpr(
+        "'same' AS global_id", "'11111111' AS dni", "'Constructora Nortee' AS empresa_candidato"
+    )
+    assert L.deterministic_links(people, company_links, sanctions).count() == 2
+    assert L.fuzzy_links(people, sanctions).count() == 1
