@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from probity.operators import search as V
@@ -104,3 +105,45 @@ def text_search_batch(t: Tables) -> DataFrame:
     asked = encoder.encode(t.benchmark, "text").select("item_id", "embedding")
     found = V.top_k_batch(vectors, asked, key="doc_id", query_key="item_id")
     return found.select("item_id", "doc_id", _rounded(), "rank")
+
+
+# A stand-in for a text model that the oracle can follow: how often each vowel occurs.
+VOWELS = "aeiou"
+VOWEL_COUNTS = "[" + ", ".join(f"length(text) - length(replace(text, '{v}', ''))" for v in VOWELS) + "]"
+
+
+def sql_vowel_vector(table: str, key: str) -> str:
+    return f"""SELECT {key}, list_transform(c, lambda x: CAST(CAST(CASE WHEN list_sum(c) > 0
+        THEN x / sqrt(list_sum(list_transform(c, lambda y: y * y))) ELSE 0 END AS FLOAT) AS DOUBLE)) AS v
+    FROM (SELECT {key}, {VOWEL_COUNTS} AS c FROM {table}) n"""
+
+
+def _vowel_encoder() -> V.PandasEncoder:
+    def load():
+        return lambda texts: np.array([[text.count(v) for v in "aeiou"] for text in texts])
+
+    return V.PandasEncoder(load)
+
+
+@query(
+    "SELECT doc_id, " + ", ".join(f"v[{i + 1}] AS {v}" for i, v in enumerate(VOWELS))
+    + f" FROM ({sql_vowel_vector('documents', 'doc_id')}) d"
+)
+def model_vectors(t: Tables) -> DataFrame:
+    """Vectors of a model that runs in Python workers."""
+    vectors = _vowel_encoder().encode(spread(t.documents.select("doc_id", "text")), "text")
+    parts = [F.get("embedding", F.lit(i)).cast("double").alias(v) for i, v in enumerate(VOWELS)]
+    return vectors.select("doc_id", *parts)
+
+
+@query(
+    f"""SELECT doc_id, round(list_inner_product(d.v, q.v), 6) AS score
+    FROM ({sql_vowel_vector('documents', 'doc_id')}) d,
+        ({sql_vowel_vector('(SELECT 0 AS one, min(text) AS text FROM benchmark)', 'one')}) q
+    ORDER BY list_inner_product(d.v, q.v) DESC, doc_id LIMIT 5"""
+)
+def model_search(t: Tables) -> DataFrame:
+    encoder = _vowel_encoder()
+    vectors = encoder.encode(spread(t.documents.select("doc_id", "text")), "text")
+    asked = t.benchmark.agg(F.min("text")).first()[0]
+    return V.search(encoder, vectors, asked, key="doc_id").select("doc_id", _rounded())

@@ -48,15 +48,17 @@ def company_dossiers(
         return rows.where(F.col("ruc").isNotNull()).groupBy("ruc").agg(F.count("*").alias(feed))
 
     def named(rows: DataFrame, feed: str) -> DataFrame:
+        # names are few: the filter reaches the scan and skips what has none
         known = rows.where(F.col("ruc").isNotNull() & F.col("nombre_empresa").isNotNull())
         return known.groupBy("ruc").agg(F.min("nombre_empresa").alias(f"{feed}_name"))
 
     parts = [
-        counted(sanctions, "sanction"),
+        sanctions.where(F.col("ruc").isNotNull())
+        .groupBy("ruc")
+        .agg(F.count("*").alias("sanction"), F.min("nombre_empresa").alias("sanction_name")),
         counted(penalties, "penalty"),
-        counted(consortium_roles(consortia), "consortium"),
-        named(sanctions, "sanction"),
         named(penalties, "penalty"),
+        counted(consortium_roles(consortia), "consortium"),
     ]
     if company_links is not None:
         parts.append(named(company_links, "link"))

@@ -73,9 +73,10 @@ class PandasEncoder:
         def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             model = load()
             for texts in batches:
-                vectors = np.asarray(model(texts.fillna("").tolist()), dtype=np.float32)
+                vectors = np.asarray(model(texts.fillna("").tolist()), dtype=np.float64)
                 length = np.linalg.norm(vectors, axis=1, keepdims=True)
-                yield pd.Series(list(vectors / np.where(length > 0, length, 1)))
+                unit = vectors / np.where(length > 0, length, 1)
+                yield pd.Series(list(unit.astype(np.float32)))
 
         return df.withColumn(output, embed(F.col(text)))
 
