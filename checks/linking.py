@@ -127,6 +127,8 @@ def _claimants(t: Tables) -> DataFrame:
 
 
 def _purchases(t: Tables) -> DataFrame:
+    """Parts linked to the suppliers that took many of them back: part of the people have
+    such a link, the others are left for the fuzzy phase."""
     return t.sql(
         f"""SELECT {pad('l_partkey', 8)} AS numero_documento, {pad('l_suppkey')} AS ruc,
             min('proveedor ' || l_linestatus) AS nombre_empresa

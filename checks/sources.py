@@ -326,6 +326,7 @@ def _conformed_resumes(t: Tables) -> DataFrame:
     parsed = text.select(F.from_json("j", wrapped_schema()).alias("r")).select("r.*")
     return parsed.select(
         *RESUME.names,
+        "data",
         "base_info",
         "consolidated_profile",
         F.lit("senadores").alias("source_category"),

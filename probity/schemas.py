@@ -70,6 +70,13 @@ MATCHES = _schema(
     osce_match_method string, fup_url string"""
 )
 
+PARTIES = T.StructType(
+    [
+        *_schema("id_partido string, nombre string, siglas string, estado string").fields,
+        T.StructField("fecha_inscripcion", T.TimestampType()),
+    ]
+)
+
 PLANS = _schema(
     """id_organizacion_politica string, dimension_social string, dimension_economica string,
     dimension_ambiental string, dimension_institucional string"""

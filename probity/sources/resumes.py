@@ -35,6 +35,7 @@ def wrapped_schema(parts: Mapping[str, str] = PROFILE_PARTS) -> StructType:
     return StructType(
         [
             *RESUME.fields,
+            StructField("data", RESUME),
             StructField("base_info", StringType()),
             StructField("consolidated_profile", profile),
             StructField(_CORRUPT, StringType()),
@@ -83,12 +84,13 @@ def read_resumes(
 def flatten_profiles(df: DataFrame, parts: Mapping[str, str] = PROFILE_PARTS) -> DataFrame:
     """Wrapped records as flat ones; flat records pass through.
 
-    ``parts`` names the résumé column each part of a profile becomes.
+    A record is wrapped as the ``data`` of a service response, or as list entry and fetched
+    profile. ``parts`` names the résumé column each part of a profile becomes.
     """
     column_of = {target: F.col(f"consolidated_profile.{part}") for part, target in parts.items()}
     columns = []
     for field in RESUME.fields:
-        flat = F.col(field.name)
+        flat = F.coalesce(F.col(field.name), F.col(f"data.{field.name}"))
         if field.name == "oDatosPersonales":
             flat = F.coalesce(flat, F.when(F.col("base_info").isNotNull(), _personal(field.dataType)))
         elif field.name in column_of:

@@ -99,6 +99,13 @@ def test_equal_scores_take_the_smallest_match(spark):
     assert best_matches(names, choices).first()["match"] == "MARTHB"
 
 
+@pytest.mark.parametrize("broadcast_names", [20_000, -1])
+def test_empty_sides(spark, broadcast_names):
+    some = spark.createDataFrame([("MARTHA",)], "name string")
+    for names, choices in ((some, some.limit(0)), (some.limit(0), some), (some.limit(0), some.limit(0))):
+        assert best_matches(names, choices, broadcast_names=broadcast_names).count() == 0
+
+
 def test_threshold_out_of_range(spark):
     names = spark.createDataFrame([("A",)], "name string")
     with pytest.raises(ValueError):

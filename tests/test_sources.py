@@ -155,9 +155,13 @@ def test_flat_wrapped_and_broken_files_in_one_scan(spark, tmp_path):
     write(root / "diputados" / "c.json", "{ no json")
     write(root / "diputados" / "note.txt", "{}")
     write(root / "elsewhere" / "d.json", json.dumps(FLAT))
+    response = {"success": True, "data": FLAT, "message": None}
+    write(root / "parlamento_andino" / "e.json", json.dumps(response))
     df = read_resumes(spark, str(root)).cache()
     rows = {r.source_category: r for r in df.collect()}
-    assert set(rows) == {"senadores", "presidenciales", "diputados"}
+    assert set(rows) == {"senadores", "presidenciales", "diputados", "parlamento_andino"}
+    answered = rows["parlamento_andino"]
+    assert answered.oDatosPersonales == rows["senadores"].oDatosPersonales and answered.lEduUniversitaria is None
     flat, wrapped = rows["senadores"], rows["presidenciales"]
     assert flat.oIngresos.decRemuBrutaPublico == "1200.5" and json.loads(flat.lRenunciaOP[0]["nested"]) == {"a": 1}
     person = wrapped.oDatosPersonales
