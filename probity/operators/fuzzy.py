@@ -1,8 +1,9 @@
 """Best fuzzy match per name: an exact Jaro-Winkler join that compares few pairs.
 
-Nothing is approximate but the last digits: scores are rounded to twelve places, so that a
-similarity equal to the threshold is never lost to the last bit. For a similarity of at least ``t`` and a common prefix of ``p``
-characters, the Jaro part must reach ``j = (t - 0.1 p) / (1 - 0.1 p)``, which bounds
+Scores are rounded to twelve places, so that a similarity equal to the threshold is never
+lost to the last bit; beyond that nothing is approximate. For a similarity of at least
+``t`` and a common prefix of ``p`` characters, the Jaro part must reach
+``j = (t - 0.1 p) / (1 - 0.1 p)``, which bounds
 
 * the lengths: ``shorter / longer >= 3 j - 2``, and
 * the characters in common: ``m >= (3 j - 1) a b / (a + b)`` for lengths ``a`` and ``b``.
