@@ -53,7 +53,8 @@ def verified(table: DataFrame) -> DataFrame:
     dictionary = pieces.groupBy("hash", "bytes").agg(
         F.min("digest").alias("least"), F.max("digest").alias("most")
     )
-    shared = dictionary.where("least <> most").select("hash", "bytes")
+    # written first: it is next to nothing, so the pieces need not be shuffled to meet it
+    shared = stage(dictionary.where("least <> most").select("hash", "bytes"), "shared-names")
     touched = pieces.join(shared, ["hash", "bytes"]).select("text_sha256").distinct()
     return (
         table.join(touched.withColumn("clash", F.lit(True)), "text_sha256", "left")

@@ -84,5 +84,20 @@ copies AS (
     FROM sized s JOIN budgets t ON s.source IS NOT DISTINCT FROM t.source
     LEFT JOIN edges e ON s.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, copies FROM copies
+""",
+    "op9_warc_fixity": """
+WITH marked AS (
+    SELECT page_id, substr(md5(CAST(page_id AS VARCHAR)), 1, 2) AS mark, CAST(octet_length(encode(
+        'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+        || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
+        || 'WARC-Date: 1970-01-01T00:00:00Z' || chr(13) || chr(10) || 'WARC-Target-URI: '
+        || regexp_replace(coalesce(url, 'about:blank'), '[\r\n]+', ' ', 'g') || chr(13) || chr(10)
+        || 'WARC-Block-Digest: sha256:' || sha256(coalesce(html, '')) || chr(13) || chr(10)
+        || 'Content-Type: text/html' || chr(13) || chr(10)
+        || 'Content-Length: ' || octet_length(encode(coalesce(html, ''))) || chr(13) || chr(10) || chr(13) || chr(10)
+        || coalesce(html, ''))) AS BIGINT) AS length
+    FROM pages)
+SELECT page_id, CASE mark WHEN '07' THEN 'changed' WHEN 'a7' THEN 'missing' ELSE 'extra' END AS kind, length
+FROM marked WHERE mark IN ('07', 'a7', 'f3')
 """,
 }
