@@ -221,8 +221,8 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
         .distinct()
     )
     hit = stage(hit, "contaminated")
-    return docs.join(
-        lookup(hit, hit.count(), 32),
-        docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col]) == F.col("_key")),
-        "left_anti",
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key")
     )
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+    return rows.join(lookup(hit, hit.count(), 32), same, "left_anti").select("row.*")

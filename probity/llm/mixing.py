@@ -173,9 +173,10 @@ def mixed(
 ) -> DataFrame:
     """The documents as the mix takes them: dropped, kept, or repeated; columns unchanged."""
     plan = mix_plan(docs, id_col, text_col, source_col, **options)
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("_id"), F.col(source_col).alias("_source"))
     return (
-        with_copies(docs, plan, id_col, source_col)
+        with_copies(rows, plan, "_id", "_source")
         .where("_copies > 0")
         .withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*(F.col(f"`{name}`") for name in docs.columns))
+        .select("row.*")
     )

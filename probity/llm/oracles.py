@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import licenses
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 URL_PARTS = f"""
@@ -14,7 +16,47 @@ URL_PARTS = f"""
                                      ELSE '' END AS rest FROM pages)
 """
 
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def license_sql() -> str:
+    wanted = licenses.grams({label: phrase for phrase, label in licenses.BASE.items()}, True)
+    wanted += licenses.grams(licenses.TEMPLATES, False)
+    rows = ", ".join(f"({quoted(g.label)}, {g.exact}, {g.tpos}, {g.grams}, {quoted(g.gram)})" for g in wanted)
+    sizes = ", ".join(str(k) for k in sorted({g.k for g in wanted}))
+    return f"""
+WITH templates(label, exact, tpos, grams, gram) AS (VALUES {rows}),
+docs AS (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+places AS (SELECT rid, w, unnest(range(len(w))) AS pos FROM docs),
+texts AS (
+    SELECT rid, pos, k || ' ' || array_to_string(w[pos + 1:pos + k], ' ') AS gram
+    FROM places, (SELECT unnest([{sizes}]) AS k) WHERE pos + k <= len(w)),
+votes AS (
+    SELECT rid, label, exact, grams, pos - tpos AS diagonal, list(tpos) AS voted, min(pos) AS start
+    FROM texts JOIN templates USING (gram) GROUP BY ALL),
+marked AS (
+    SELECT *, CASE WHEN exact OR diagonal - lag(diagonal) OVER near > {licenses.NEIGHBOUR}
+                     OR lag(diagonal) OVER near IS NULL THEN 1 ELSE 0 END AS new
+    FROM votes WINDOW near AS (PARTITION BY rid, label, exact ORDER BY diagonal)),
+numbered AS (
+    SELECT *, sum(new) OVER (PARTITION BY rid, label, exact ORDER BY diagonal) AS span FROM marked),
+spans AS (
+    SELECT rid, label, exact, len(list_distinct(flatten(list(voted)))) / grams AS share, min(start) AS start
+    FROM numbered GROUP BY rid, label, exact, grams, span)
+SELECT any_value(doc_id) AS doc_id, CAST(any_value(len(w)) AS BIGINT) AS n_words,
+       count(*) FILTER (exact) AS n_base, min(start) FILTER (exact) AS first_word, max(start) FILTER (exact) AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact OR share >= {licenses.SIMILAR}), '') AS labels,
+       coalesce(max(share), 0.0)::DOUBLE AS score
+FROM docs LEFT JOIN spans USING (rid) GROUP BY rid
+"""
+
+
 SQL = {
+    "op5_license_scan": license_sql(),
     "op4_url_filter": f"""
 WITH parts AS ({URL_PARTS}),
 named AS (

@@ -261,9 +261,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select(F.col("c.id").alias("_id"), F.col("c.text_key").alias("_key"))
         .distinct()
     )
-    keyed = docs.withColumn("_text_key", F.xxhash64(docs[text_col]))
-    return (
-        keyed.join(chosen, keyed[id_col].eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_semi")
-        .dropDuplicates([id_col, "_text_key"])
-        .drop("_text_key")
+    keyed = docs.select(
+        F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key")
     )
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+    return keyed.join(chosen, same, "left_semi").dropDuplicates(["id", "text_key"]).select("row.*")
