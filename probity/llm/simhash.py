@@ -51,10 +51,15 @@ def fingerprint(text: bytes | None) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-@F.pandas_udf("long")
-def fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in texts:
-        yield pd.Series([fingerprint(t) for t in batch], dtype="int64")
+def fingerprints(text: Column) -> Column:
+    """The fingerprint of a binary column, computed by Spark in batches."""
+
+    @F.pandas_udf("long")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([fingerprint(t) for t in batch], dtype="int64")
+
+    return run(text)
 
 
 def hex_digits(fp: Column) -> Column:
