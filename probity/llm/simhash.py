@@ -196,12 +196,13 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def stars(edges: DataFrame) -> DataFrame:
-    """Links (u, v), u > v, rewritten so that every fingerprint points at its component's least.
+    """Links (u, v) rewritten so that every fingerprint points at its component's least.
 
     Large-star and small-star rounds: minima are map-side combined, joins back to the links
     may be split where a fingerprint has many, and every round is written before the next.
     """
-    edges = stage(edges.where("u > v").distinct(), "links")
+    larger, smaller = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
+    edges = stage(edges.where("u <> v").select(larger, smaller).distinct(), "links")
     mark = (-1, 0)
     while True:
         both = edges.union(edges.select("v", "u"))
