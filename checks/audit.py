@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from probity.operators import audit as A
@@ -30,6 +32,32 @@ def snapshot_diff(t: Tables) -> DataFrame:
     return A.snapshot_diff(t.sql(OLD), t.sql(NEW)).drop("timestamp")
 
 
+OLD_COPIES = "SELECT c_nationkey AS global_id, c_custkey AS v FROM {customer}"
+NEW_COPIES = """
+    SELECT c_nationkey AS global_id, CASE WHEN c_custkey % 7 = 0 THEN c_custkey + 1000000 ELSE c_custkey END AS v
+    FROM {customer} WHERE c_custkey % 97 <> 5"""
+
+
+@query(
+    """SELECT global_id, 'v' AS field_changed, CAST(was AS VARCHAR) AS old_value, CAST(now AS VARCHAR) AS new_value
+    FROM (SELECT global_id, last_value(o.v IGNORE NULLS) OVER w AS was, last_value(n.v IGNORE NULLS) OVER w AS now
+        FROM (SELECT *, row_number() OVER (PARTITION BY global_id ORDER BY v) AS turn
+            FROM (FROM old_copies EXCEPT ALL FROM new_copies) a) o
+        FULL JOIN (SELECT *, row_number() OVER (PARTITION BY global_id ORDER BY v) AS turn
+            FROM (FROM new_copies EXCEPT ALL FROM old_copies) b) n USING (global_id, turn)
+        WINDOW w AS (PARTITION BY global_id ORDER BY turn)) p
+    WHERE was IS NOT NULL AND now IS NOT NULL
+    UNION ALL SELECT global_id, '(copies)', CAST(o.n AS VARCHAR), CAST(c.n AS VARCHAR)
+    FROM (SELECT global_id, count(*) AS n FROM old_copies GROUP BY 1) o
+    JOIN (SELECT global_id, count(*) AS n FROM new_copies GROUP BY 1) c USING (global_id) WHERE o.n <> c.n""",
+    old_copies=OLD_COPIES,
+    new_copies=NEW_COPIES,
+)
+def snapshot_diff_repeated_keys(t: Tables) -> DataFrame:
+    """A key that many rows share: changed, lost and unchanged copies under it."""
+    return A.snapshot_diff(t.sql(OLD_COPIES), t.sql(NEW_COPIES)).drop("timestamp")
+
+
 @query(
     f"SELECT field_changed, count(*) AS changes FROM ({CHANGES}) c GROUP BY 1",
     old_version=OLD,
@@ -95,6 +123,36 @@ def version_check(t: Tables) -> DataFrame:
     return checks[0].unionByName(checks[1]).unionByName(checks[2])
 
 
+@query("SELECT * FROM (VALUES ('same', TRUE), ('moved', FALSE), ('list', FALSE), ('inner', FALSE), ('map', FALSE)) v(version, same_rows)")
+def version_check_nulls(t: Tables) -> DataFrame:
+    """A value next to a null changes places; an empty list for null; null in a struct, a list, a map."""
+    some = F.col("o_orderstatus") == "P"
+    base = t.orders.select(
+        "o_orderkey",
+        F.when(some, F.col("o_orderpriority")).alias("a"),
+        F.lit(None).cast("string").alias("b"),
+        F.when(~some, F.array("o_orderstatus", F.lit(None))).alias("l"),
+        F.struct("o_orderpriority", F.lit(None).cast("string").alias("y")).alias("s"),
+        F.create_map(F.lit("k"), F.lit(None).cast("string")).alias("m"),
+    )
+    versions = {
+        "same": base.orderBy("o_orderkey"),
+        "moved": base.withColumns({"a": F.col("b"), "b": F.col("a")}),
+        "list": base.withColumn("l", F.coalesce("l", F.array().cast("array<string>"))),
+        "inner": base.withColumn("s", F.struct(F.col("s.y").alias("o_orderpriority"), F.col("s.o_orderpriority").alias("y"))),
+        "map": base.withColumn("m", F.create_map(F.lit("k"), F.lit(""))),
+    }
+    mark = A.fingerprint(base)
+    found = [
+        A.fingerprint(df)
+        .join(mark, mark.columns, "left_semi")
+        .agg((F.count("*") > 0).alias("same_rows"))
+        .select(F.lit(name).alias("version"), "same_rows")
+        for name, df in versions.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query()
 def fingerprint(t: Tables) -> DataFrame:
     return A.fingerprint(t.lineitem)

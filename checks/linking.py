@@ -38,6 +38,13 @@ CLAIMS = """
         END AS empresa_candidato
     FROM {part}"""
 
+# Every line links some document to its supplier; parts often taken back in bulk are people,
+# the other documents are nobody's, so that people are left for the fuzzy phase.
+PURCHASES = f"""
+    SELECT {pad("l_partkey + CASE WHEN l_returnflag = 'A' AND l_quantity > 45 THEN 0 ELSE 10000000 END", 8)}
+        AS numero_documento, {pad('l_suppkey')} AS ruc, 'proveedor ' || l_linestatus AS nombre_empresa
+    FROM {{lineitem}}"""
+
 FUZZY_FOUND = f"""
     SELECT name, match, score FROM (
         SELECT c.name, r.name AS match, round(jaro_winkler_similarity(c.name, r.name), 12) AS score,
@@ -59,7 +66,8 @@ EXACT_LINKS = f"""
     SELECT DISTINCT {sql_uuid5('p.dni')} AS global_id, b.nombre_empresa AS empresa_candidato,
         s.nombre_empresa AS osce_sancionada_match, 1e0 AS osce_match_score, s.ruc AS ruc_sancionado, s.tipo_sancion,
         'DETERMINISTIC' AS osce_match_method, 'https://apps.osce.gob.pe/perfilprov-ui/ficha/' || s.ruc AS fup_url
-    FROM people p JOIN company_links b ON p.dni = b.numero_documento JOIN sanctions s ON s.ruc = b.ruc"""
+    FROM people p JOIN company_links b ON p.dni = b.numero_documento
+    JOIN sanctions s ON s.ruc = b.ruc AND s.ruc <> lpad('0', 11, '0')"""
 
 
 def people(t: Tables) -> DataFrame:
@@ -82,13 +90,40 @@ def fuzzy_links(t: Tables) -> DataFrame:
     return L.fuzzy_links(t.sql(CLAIMS), registry(t, PART_SANCTIONS))
 
 
+@query(
+    """SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS global_id, 'e' || CAST(o_custkey % 5 AS VARCHAR) AS empresa_candidato,
+        s_name AS osce_sancionada_match, lpad(CAST(s_suppkey AS VARCHAR), 11, '0') AS ruc_sancionado
+    FROM orders JOIN supplier ON o_custkey % 50 + 1 = s_suppkey WHERE s_suppkey % 4 <> 0"""
+)
+def links_of_damaged_ids(t: Tables) -> DataFrame:
+    """Link files that lost leading zeros and hold junk tax ids find all true links and no other."""
+    orders = t.orders
+    owners = orders.select(
+        F.col("o_custkey").cast("string").alias("global_id"), F.lpad(F.col("o_custkey").cast("string"), 8, "0").alias("dni")
+    )
+    company = F.col("o_custkey") % 50 + 1
+    links = orders.select(
+        F.concat(F.lit("\t"), F.col("o_custkey").cast("string"), F.lit(" ")).alias("numero_documento"),
+        P.normalize_tax_id(F.when(company % 4 == 0, "S/N").otherwise(company.cast("string"))).alias("ruc"),
+        F.concat(F.lit("e"), (F.col("o_custkey") % 5).cast("string")).alias("nombre_empresa"),
+    )
+    number = F.col("s_suppkey")
+    sanctions = t.supplier.select(
+        P.normalize_tax_id(F.when(number % 4 == 0, "-").otherwise(number.cast("string"))).alias("ruc"),
+        F.col("s_name").alias("nombre_empresa"),
+        F.lit("MULTA").alias("tipo_sancion"),
+    )
+    found = L.deterministic_links(owners, links, sanctions)
+    return found.select("global_id", "empresa_candidato", "osce_sancionada_match", "ruc_sancionado")
+
+
 def _words(t: Tables, table: str) -> DataFrame:
     words = F.explode(F.split(F.upper("text"), "[^A-Z]+"))
     return getattr(t, table).select(words.alias("name"))
 
 
-@query(
-    f"""SELECT name, match, score FROM (
+def _vocabulary(threshold: str) -> str:
+    return f"""SELECT name, match, score FROM (
         SELECT q.name, r.name AS match, round(jaro_winkler_similarity(q.name, r.name), 12) AS score,
             row_number() OVER (PARTITION BY q.name
                 ORDER BY round(jaro_winkler_similarity(q.name, r.name), 12) DESC, r.name) AS k
@@ -97,20 +132,31 @@ def _words(t: Tables, table: str) -> DataFrame:
             (SELECT DISTINCT unnest(regexp_split_to_array({sql_upper('text')}, '[^A-Z]+')) AS name
                 FROM benchmark) r
         WHERE length(q.name) >= 3 AND length(r.name) > 0
-            AND round(jaro_winkler_similarity(q.name, r.name), 12) >= 0.92) s
+            AND round(jaro_winkler_similarity(q.name, r.name), 12) >= {threshold}) s
     WHERE k = 1"""
-)
+
+
+@query(_vocabulary("0.92"))
 def fuzzy_vocabulary(t: Tables) -> DataFrame:
     """Every word of the conversations against every word of the benchmark texts."""
     return best_matches(_words(t, "conversations"), _words(t, "benchmark"))
 
 
+@query(_vocabulary("0.92"))
+def fuzzy_vocabulary_keyed(t: Tables) -> DataFrame:
+    """The same as for a registry too large to send to all tasks, in small cells."""
+    return best_matches(_words(t, "conversations"), _words(t, "benchmark"), broadcast_names=0, cell_rows=500)
+
+
+@query(_vocabulary("0.8"))
+def fuzzy_vocabulary_low(t: Tables) -> DataFrame:
+    return best_matches(_words(t, "conversations"), _words(t, "benchmark"), threshold=0.8)
+
+
 @query(
     """SELECT * FROM exact_links UNION ALL SELECT * FROM fuzzy_links""",
     company_links=f"""
-        SELECT {pad('l_partkey', 8)} AS numero_documento, {pad('l_suppkey')} AS ruc,
-            min('proveedor ' || l_linestatus) AS nombre_empresa
-        FROM {{lineitem}} WHERE l_returnflag = 'A' AND l_quantity > 45 GROUP BY l_partkey, l_suppkey""",
+        SELECT numero_documento, ruc, min(nombre_empresa) AS nombre_empresa FROM ({PURCHASES}) x GROUP BY 1, 2""",
     sanctions=f"""{SANCTIONS} UNION ALL {PART_SANCTIONS}""",
     all_claims=f"SELECT global_id, lpad(global_id, 8, '0') AS dni, empresa_candidato FROM ({CLAIMS}) c",
     exact_links=EXACT_LINKS.replace(sql_uuid5("p.dni"), "p.global_id").replace("FROM people p", "FROM all_claims p"),
@@ -127,12 +173,8 @@ def _claimants(t: Tables) -> DataFrame:
 
 
 def _purchases(t: Tables) -> DataFrame:
-    """Parts linked to the suppliers that took many of them back: part of the people have
-    such a link, the others are left for the fuzzy phase."""
     return t.sql(
-        f"""SELECT {pad('l_partkey', 8)} AS numero_documento, {pad('l_suppkey')} AS ruc,
-            min('proveedor ' || l_linestatus) AS nombre_empresa
-        FROM {{lineitem}} WHERE l_returnflag = 'A' AND l_quantity > 45 GROUP BY l_partkey, l_suppkey"""
+        f"""SELECT numero_documento, ruc, min(nombre_empresa) AS nombre_empresa FROM ({PURCHASES}) x GROUP BY 1, 2"""
     )
 
 

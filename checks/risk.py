@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from probity import functions as P
 from probity.functions import scoring as S
 from probity.operators import risk as R
-from probity.operators.stats import median_and_mad
+from probity.operators.stats import exact_median, median_and_mad
 from probity.plans.gold import to_gold
 
 from .cleaning import PLAN_ROWS, sql_uuid5
@@ -55,6 +55,25 @@ def figures(t: Tables) -> DataFrame:
     return t.sql(FIGURES).withColumn("global_id", P.global_id("dni", F.lit("")))
 
 
+ENDLESS = """
+    SELECT CASE WHEN o_orderstatus = 'F' THEN o_totalprice WHEN o_orderkey % 3 = 0 THEN -CAST('Infinity' AS DOUBLE)
+        WHEN o_orderkey % 17 = 0 THEN CAST('NaN' AS DOUBLE) WHEN o_orderkey % 19 = 0 THEN NULL
+        ELSE CAST('Infinity' AS DOUBLE) END AS x FROM {orders}"""
+
+
+@query(
+    """SELECT median(x) AS middle, (SELECT median(x) FROM endless WHERE x > 1e300) AS above,
+        (SELECT median(x) FROM endless WHERE x < 1e300) AS below FROM endless WHERE x <> CAST('NaN' AS DOUBLE)""",
+    endless=ENDLESS,
+)
+def median_with_infinities(t: Tables) -> DataFrame:
+    """Infinite values have a rank; NaN and null are no values."""
+    rows = t.sql(ENDLESS)
+    parts = {"middle": rows, "above": rows.where("x > 1e300"), "below": rows.where("x < 1e300")}
+    found = [F.lit(exact_median(part, "x", few_rows=100)).cast("double").alias(n) for n, part in parts.items()]
+    return t.spark.range(1).select(*found)
+
+
 @query(
     f"""SELECT 'orders' AS source, {sql_rounded('median(o_totalprice)')} AS median,
         {sql_rounded('median(abs(o_totalprice - m))')} AS mad

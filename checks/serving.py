@@ -23,11 +23,11 @@ SANCTIONS = f"""
     FROM {{supplier}} WHERE s_acctbal < 1000"""
 PENALTIES = f"""
     SELECT {pad('l_suppkey')} AS ruc, CAST(NULL AS STRING) AS nombre_empresa
-    FROM {{lineitem}} WHERE l_returnflag = 'R' AND l_quantity > 30"""
+    FROM {{lineitem}} WHERE l_returnflag = 'R'"""
 CONSORTIA = f"""
     SELECT l_linenumber AS anio, {pad('l_partkey')} AS ruc_consorcio, 'c' AS consorcio,
         {pad('l_suppkey')} AS ruc_miembro, 'm' AS miembro
-    FROM {{lineitem}} WHERE l_linestatus = 'F'"""
+    FROM {{lineitem}}"""
 LINKS = f"SELECT {pad('s_suppkey')} AS ruc, 'enlace ' || s_name AS nombre_empresa FROM {{supplier}}"
 DOSSIERS = """
     SELECT ruc, 'https://apps.osce.gob.pe/perfilprov-ui/ficha/' || ruc AS fup_url,
@@ -57,16 +57,16 @@ def dossier_sanctions(t: Tables) -> DataFrame:
 
 
 REQUESTS = """
-    SELECT CASE c_custkey % 3 WHEN 0 THEN ' ' || lpad(CAST(c_custkey AS STRING), 11, '0') || ' '
+    SELECT CASE c_custkey % 3 WHEN 0 THEN chr(9) || lpad(CAST(c_custkey AS STRING), 11, '0') || ' '
         WHEN 1 THEN lpad(CAST(c_custkey AS STRING), 11, '0') ELSE CAST(c_custkey AS STRING) END AS ruc
     FROM {customer}"""
 
 
 @query(
-    """SELECT trim(r.ruc) AS ruc, fup_url, nombre_empresa, total_sanciones, en_penalidades, total_penalidades,
-        en_consorcios, total_consorcios, CASE WHEN length(trim(r.ruc)) <> 11 THEN 'invalid'
+    """SELECT trim(r.ruc, ' ' || chr(9)) AS ruc, fup_url, nombre_empresa, total_sanciones, en_penalidades, total_penalidades,
+        en_consorcios, total_consorcios, CASE WHEN length(trim(r.ruc, ' ' || chr(9))) <> 11 THEN 'invalid'
             WHEN d.ruc IS NOT NULL THEN 'found' ELSE 'not_found' END AS status
-    FROM requests r LEFT JOIN dossiers d ON d.ruc = trim(r.ruc)""",
+    FROM requests r LEFT JOIN dossiers d ON d.ruc = trim(r.ruc, ' ' || chr(9))""",
     **FEEDS,
     dossiers=DOSSIERS,
     requests=REQUESTS,
@@ -110,6 +110,24 @@ def deep_page(t: Tables) -> DataFrame:
     return G.page(orders, "o_orderkey", limit=100, offset=1100, descending=True, shallow=200)
 
 
+@query(
+    """SELECT b.branch, p.k FROM (VALUES ('shallow'), ('deep')) b(branch),
+        (SELECT k FROM keyed ORDER BY k DESC NULLS LAST LIMIT 60
+         OFFSET (SELECT greatest(count(k) - 30, 0) FROM keyed)) p""",
+    keyed="SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END AS k FROM {orders}",
+)
+def page_null_keys(t: Tables) -> DataFrame:
+    """The page where the keys end and the rows without one begin, found in both ways."""
+    keyed = t.orders.select(F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey")).alias("k"))
+    offset = max(keyed.where("k IS NOT NULL").count() - 30, 0)
+    pages = {
+        branch: G.page(keyed, "k", limit=60, offset=offset, descending=True, shallow=shallow)
+        for branch, shallow in (("shallow", G.SHALLOW * 1000), ("deep", 200))
+    }
+    shallow, deep = (rows.select(F.lit(branch).alias("branch"), "k") for branch, rows in pages.items())
+    return shallow.unionAll(deep)
+
+
 @query(
     f"""SELECT *, {sql_uuid5('dni')} AS global_id FROM ranked WHERE {sql_uuid5('dni')} > '8'
     ORDER BY global_id LIMIT 50""",
@@ -123,7 +141,7 @@ def page_after_key(t: Tables) -> DataFrame:
     """SELECT count(*) AS total, CAST(100 AS BIGINT) AS "limit", CAST(900 AS BIGINT) AS "offset", 900 + 100 < count(*) AS has_next FROM customer"""
 )
 def page_envelope(t: Tables) -> DataFrame:
-    return G.page_info(t.customer, limit=500, offset=900)
+    return G.page_info(t.customer, limit=100, offset=900)
 
 
 @query(f"SELECT *, {sql_uuid5('dni')} AS global_id FROM ranked WHERE {sql_uuid5('dni')} = {sql_uuid5("'00000042'")}",

@@ -4,6 +4,7 @@ from .identifiers import (
     global_id,
     is_national_id,
     is_tax_id,
+    names_company,
     natural_key,
     normalize_national_id,
     normalize_tax_id,

@@ -7,6 +7,7 @@ from uuid import UUID
 from pyspark.sql import Column, functions as F
 
 from ._args import ColumnOrName, as_column
+from .text import strip_spaces
 
 # Identity namespace, widths of the two ids, base of the supplier page.
 IDENTITY_NAMESPACE = "ff87d414-20d1-51d7-8722-661d1863e10e"
@@ -39,8 +40,13 @@ def is_national_id(value: ColumnOrName) -> Column:
 
 
 def is_tax_id(value: ColumnOrName) -> Column:
-    """A request for a tax id is valid if, trimmed, it has exactly eleven digits."""
-    return F.coalesce(F.trim(as_column(value)).rlike(r"^[0-9]{11}\z"), F.lit(False))
+    """A request for a tax id is valid if, without white space around it, it has exactly eleven digits."""
+    return F.coalesce(strip_spaces(value).rlike(r"^[0-9]{11}\z"), F.lit(False))
+
+
+def names_company(tax_id: ColumnOrName) -> Column:
+    """Whether a tax id says anything: junk without digits is padded to zeros only."""
+    return F.coalesce(as_column(tax_id).rlike("[1-9]"), F.lit(False))
 
 
 def natural_key(*parts: ColumnOrName) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import NumericType, StructType
+from pyspark.sql.types import MapType, NumericType, StructType
 
 from probity import functions as P
 
@@ -63,10 +63,14 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list[str | Column])
     """One row per key: the first in ``order_by``, ties broken by the remaining columns.
 
     An aggregate, not a window: rows of a hot key are already reduced before the shuffle.
+    Spark sorts the rows for it on either side of the shuffle, as its hash aggregate cannot
+    hold a struct; where many rows are equal, pass ``df.distinct()``, which is hashed. Maps
+    have no order and break no ties.
     """
     rest = [name for name in df.columns if name not in keys]
     if not rest:
         return df.distinct()
     order = [F.col(o) if isinstance(o, str) else o for o in order_by]
-    best = F.min_by(F.struct(*rest), F.struct(*order, *rest))
+    ties = [F.sort_array(F.map_entries(c)) if isinstance(df.schema[c].dataType, MapType) else F.col(c) for c in rest]
+    best = F.min_by(F.struct(*rest), F.struct(*order, *ties))
     return df.groupBy(*keys).agg(best.alias("_first")).select(*keys, "_first.*")

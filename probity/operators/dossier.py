@@ -37,8 +37,8 @@ def company_dossiers(
 ) -> DataFrame:
     """One row per company found in any feed: name, page, counts and flags.
 
-    Each feed is counted by company first, map-side and without sorting its rows. What is
-    left, at most one row per company and feed, is stacked and aggregated again, so no
+    Each feed is counted by company first, in hash aggregates and map-side; names are made
+    distinct before the smallest is taken. What is left, at most one row per company and feed, is stacked and aggregated again, so no
     outer join is needed. The sanctions themselves stay rows (:func:`dossier_sanctions`):
     a list per company would gather any number of them in one task. The name comes from
     the sanctions, else from the penalties, else from the company links.
@@ -50,12 +50,13 @@ def company_dossiers(
     def named(rows: DataFrame, feed: str) -> DataFrame:
         # names are few: the filter reaches the scan and skips what has none
         known = rows.where(F.col("ruc").isNotNull() & F.col("nombre_empresa").isNotNull())
-        return known.groupBy("ruc").agg(F.min("nombre_empresa").alias(f"{feed}_name"))
+        # hashing cannot hold a least text, only a set of texts: the sort is over what that leaves
+        different = known.select("ruc", "nombre_empresa").distinct()
+        return different.groupBy("ruc").agg(F.min("nombre_empresa").alias(f"{feed}_name"))
 
     parts = [
-        sanctions.where(F.col("ruc").isNotNull())
-        .groupBy("ruc")
-        .agg(F.count("*").alias("sanction"), F.min("nombre_empresa").alias("sanction_name")),
+        counted(sanctions, "sanction"),
+        named(sanctions, "sanction"),
         counted(penalties, "penalty"),
         named(penalties, "penalty"),
         counted(consortium_roles(consortia), "consortium"),
@@ -123,7 +124,7 @@ def company_dossier(
 
 def requested_dossiers(requests: DataFrame, dossiers: DataFrame, column: str = "ruc") -> DataFrame:
     """Answers a table of tax ids: ``found``, ``not_found`` or ``invalid`` and the dossier."""
-    asked = requests.select(F.trim(column).alias("ruc"), P.is_tax_id(column).alias("_valid"))
+    asked = requests.select(P.strip_spaces(column).alias("ruc"), P.is_tax_id(column).alias("_valid"))
     answered = asked.join(dossiers.withColumn("_found", F.lit(True)), "ruc", "left")
     status = (
         F.when(~F.col("_valid"), F.lit("invalid"))

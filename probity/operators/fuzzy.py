@@ -28,7 +28,7 @@ from probity.sources.layers import stage
 from .similarity import PREFIX_LENGTH, PREFIX_WEIGHT, jaro_winkler
 
 MIN_QUERY_LENGTH = 3
-LOWEST_THRESHOLD = 0.85  # below it the length bound no longer holds off short names
+LONGEST = 1 << 30  # stands for no bound on a length
 BROADCAST_NAMES = 20_000
 BROADCAST_BYTES = 4 << 20
 CELL_ROWS = 20_000
@@ -52,10 +52,12 @@ def best_matches(
     """For each distinct ``name`` of ``names`` its most similar ``name`` in ``choices``.
 
     Returns ``name, match, score`` for scores of at least ``threshold``; of equal scores the
-    smallest match wins. Names shorter than three characters are not looked up.
+    smallest match wins. Names shorter than three characters are not looked up. Any threshold
+    above 0 will do; the lower it is the less the bounds hold off, until all that have a
+    character in common are scored.
     """
-    if not LOWEST_THRESHOLD <= threshold <= 1:
-        raise ValueError(f"the threshold must lie between {LOWEST_THRESHOLD} and 1")
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold must lie above 0 and not above 1")
     long_enough = names.select("name").where(F.length("name") >= MIN_QUERY_LENGTH).distinct()
     names = stage(_signatures(long_enough), "names")
     choices = stage(_signatures(choices.select("name").where(F.length("name") > 0).distinct()), "choices")
@@ -125,20 +127,31 @@ def _own_band(bands: Column) -> Column:
 
 
 def _shortest_partner(bound: float) -> Column:
+    if bound <= 1:
+        return F.lit(1)
     return F.ceil(F.col("n") * F.lit(bound - 1) - _TOLERANCE).cast("int")
 
 
+def _longest_partner(bound: float) -> Column:
+    if bound <= 1 + _TOLERANCE:
+        return F.lit(LONGEST)
+    return F.least(F.floor(F.col("n") / F.lit(bound - 1) + _TOLERANCE), F.lit(LONGEST)).cast("int")
+
+
 def _spare(bound: float, partner_length: Column) -> Column:
-    """How many characters may stay without partner, next to a name of at least this length."""
+    """How many characters may stay without partner, next to a name of at least this length.
+
+    One is always in common, or the similarity is zero.
+    """
     n = F.col("n")
     common = F.ceil(F.lit(bound) * n * partner_length / (n + partner_length) - _TOLERANCE)
-    return (n - common).cast("int")
+    return (n - F.greatest(common, F.lit(1))).cast("int")
 
 
 def _partner_bands(bands: Column, bound: float) -> Column:
     """Bands that hold a possible partner, with the shortest possible length in each."""
     shortest = _shortest_partner(bound)
-    longest = F.floor(F.col("n") / F.lit(bound - 1) + _TOLERANCE).cast("int")
+    longest = _longest_partner(bound)
     reachable = F.filter(bands, lambda b: (b["hi"] >= shortest) & (b["lo"] <= longest))
     return F.transform(
         reachable, lambda b: F.struct(b["i"].alias("i"), F.greatest(b["lo"], shortest).alias("length"))
@@ -332,8 +345,13 @@ def _keyed(names: DataFrame, threshold: float, bands, ranks: Column, names_first
         def of_band(b: Column) -> Column:
             lengths = (F.col("band"), b["i"]) if names_first else (b["i"], F.col("band"))
             spare = _spare(bound, b["length"])
+            rarest = F.slice(tokens, 1, F.greatest(spare + 1, F.lit(0)))
+            if family:
+                # where the first character may be all that is shared, all names of it meet
+                alone = F.when(spare >= F.col("n") - 1, F.array(F.lit(-1))).otherwise(F.array().cast("array<int>"))
+                rarest = F.concat(rarest, alone)
             return F.transform(
-                F.array_distinct(F.slice(tokens, 1, F.greatest(spare + 1, F.lit(0)))),
+                F.array_distinct(rarest),
                 lambda token: _place(family, _key(family, *lengths, token), spare),
             )
 

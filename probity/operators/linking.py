@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from probity import functions as P
@@ -27,16 +27,26 @@ def deterministic_links(
     """Person id to company to sanction.
 
     Links are cut to sanctioned companies first, and people to distinct ids, so copies on
-    either side are gone before the many-to-many join.
+    either side are gone before the many-to-many join. Ids are padded on both sides, as files
+    lose leading zeros. Tax ids without a digit other than zero name no company and link to
+    none: junk would make one key of them all.
     """
+
+    def document(name: str) -> Column:
+        return P.normalize_national_id(P.strip_spaces(F.col(name).cast("string")))
+
     person = (
-        people.select("global_id", P.strip_spaces(F.col(id_column).cast("string")).alias("numero_documento"))
-        .where(F.col("numero_documento").isNotNull())
+        people.where(F.col(id_column).isNotNull())
+        .select("global_id", document(id_column).alias("numero_documento"))
         .distinct()
     )
+    sanctions = sanctions.where(P.names_company("ruc"))
+    company_links = company_links.where(F.col("numero_documento").isNotNull() & P.names_company("ruc"))
     kinds = sanctions.select("ruc", F.col("nombre_empresa").alias("osce_sancionada_match"), "tipo_sancion")
     sanctioned = company_links.select(
-        "numero_documento", "ruc", F.col("nombre_empresa").alias("empresa_candidato")
+        document("numero_documento").alias("numero_documento"),
+        "ruc",
+        F.col("nombre_empresa").alias("empresa_candidato"),
     ).join(kinds.distinct(), "ruc")
     found = person.join(sanctioned, "numero_documento").select(
         "global_id",

@@ -27,7 +27,24 @@ class Page:
 
 
 def page_limit(limit: int | None) -> int:
-    return max(0, min(limit or DEFAULT_LIMIT, MAX_LIMIT))
+    """The default for none; a size that is not allowed is refused, not cut."""
+    if limit is None:
+        return DEFAULT_LIMIT
+    if not 1 <= limit <= MAX_LIMIT:
+        raise ValueError(f"a page has 1 to {MAX_LIMIT} rows, not {limit}")
+    return limit
+
+
+def page_offset(offset: int) -> int:
+    if offset < 0:
+        raise ValueError(f"the offset {offset} is negative")
+    return offset
+
+
+def _order(df: DataFrame, key: str, descending: bool) -> list[Column]:
+    """By key; rows without one come last, whatever the direction, in an order of their own."""
+    column = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()
+    return [column, F.when(F.col(key).isNull(), F.xxhash64(*_sortable(df)))]
 
 
 def page(
@@ -38,33 +55,44 @@ def page(
     descending: bool = False,
     shallow: int = SHALLOW,
 ) -> DataFrame:
-    """One page in the order of a unique key; empty beyond the end.
+    """One page in the order of a unique key; empty beyond the end. Rows without a key come last.
 
     A sorted take holds ``offset + limit`` rows in one place. For a deep offset the rows are
     first counted per key range, and only the range that holds the page is sorted. The
     ranges come from a sample, the counts are exact, so the page is exact as well.
     """
-    size = page_limit(limit)
-    offset = max(offset, 0)
+    size, offset = page_limit(limit), page_offset(offset)
+    order = _order(df, key, descending)
     if offset + size > shallow:
-        df, offset = _from_range(df.where(F.col(key).isNotNull()), key, offset, descending, shallow)
-    order = F.col(key).desc() if descending else F.col(key).asc()
-    return df.orderBy(order).offset(offset).limit(size)
+        df, offset = _from_range(df, key, offset, descending, shallow)
+    return df.orderBy(*order).offset(offset).limit(size)
 
 
 def page_after(
-    df: DataFrame, key: str, last: object | None, limit: int | None = None, descending: bool = False
+    df: DataFrame,
+    key: str,
+    last: object | None,
+    limit: int | None = None,
+    descending: bool = False,
+    keyless: int = 0,
 ) -> DataFrame:
-    """The page that follows the key ``last``: its cost does not grow with the depth."""
-    column = F.col(key)
+    """The page that follows the key ``last``: its cost does not grow with the depth.
+
+    ``None`` starts at the first row. Rows without a key come last; once a page ends in them,
+    pass how many of them were seen as ``keyless`` to go on.
+    """
+    column, size = F.col(key), page_limit(limit)
+    if keyless:
+        return df.where(column.isNull()).orderBy(*_order(df, key, descending)).offset(keyless).limit(size)
     if last is not None:
-        df = df.where(column < F.lit(last) if descending else column > F.lit(last))
-    return df.orderBy(column.desc() if descending else column.asc()).limit(page_limit(limit))
+        beyond = column < F.lit(last) if descending else column > F.lit(last)
+        df = df.where(beyond | column.isNull())
+    return df.orderBy(*_order(df, key, descending)).limit(size)
 
 
 def page_info(df: DataFrame, limit: int | None = None, offset: int = 0) -> DataFrame:
     """The envelope of a page: total, limit, offset and whether another page follows."""
-    size = page_limit(limit)
+    size, offset = page_limit(limit), page_offset(offset)
     return df.agg(F.count("*").alias("total")).select(
         "total",
         F.lit(size).cast("bigint").alias("limit"),
@@ -74,7 +102,7 @@ def page_info(df: DataFrame, limit: int | None = None, offset: int = 0) -> DataF
 
 
 def fetch_page(df: DataFrame, key: str, limit: int | None = None, offset: int = 0) -> Page:
-    total, size, offset, has_next = page_info(df, limit, max(offset, 0)).first()
+    total, size, offset, has_next = page_info(df, limit, offset).first()
     return Page(page(df, key, limit, offset), total, size, offset, has_next)
 
 
@@ -93,7 +121,7 @@ def _from_range(
 ) -> tuple[DataFrame, int]:
     """The rows from the start of the key range that holds ``offset``, and the offset there."""
     column = F.col(key)
-    rows = df.select(key)
+    rows = df.select(key).where(column.isNotNull())
     while True:
         counts = (
             rows.groupBy(_range_number(column, _split_points(rows, key)).alias("number"))
@@ -105,9 +133,10 @@ def _from_range(
                 break
             offset -= span.n
         else:
-            return df.limit(0), 0
+            return df.where(column.isNull()), offset
         if span.n <= shallow or len(counts) == 1:
-            return df.where(column <= F.lit(span.hi) if descending else column >= F.lit(span.lo)), offset
+            here = column <= F.lit(span.hi) if descending else column >= F.lit(span.lo)
+            return df.where(here | column.isNull()), offset
         rows = rows.where(column.between(span.lo, span.hi))
 
 

@@ -78,7 +78,7 @@ def canonical_identities(df: DataFrame, names: list[str], key: str = "global_id"
 def backfill(
     df: DataFrame, detail: DataFrame, key: str, columns: list[str], prefer_detail: bool = False
 ) -> DataFrame:
-    """Fills missing fields from a second source; empty lists and blank text count as missing.
+    """Fills missing fields from a second source; empty lists, maps and blank text count as missing.
 
     ``prefer_detail`` also replaces values the second source contradicts.
     """
@@ -88,7 +88,7 @@ def backfill(
     def known(name: str, source: str):
         kind = df.schema[source].dataType.typeName()
         column = F.col(name)
-        if kind == "array":
+        if kind in ("array", "map"):
             return F.when(F.size(column) > 0, column)
         if kind == "string":
             return F.when(P.strip_spaces(column) != "", column)

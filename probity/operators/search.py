@@ -20,6 +20,7 @@ ship_by_value(__name__)
 DEFAULT_TOP_K = 5
 QUERIES_PER_BLOCK = 2_048
 CORPUS_ROWS_PER_GROUP = 20_000
+NO_KEY = "\x01\x00null"  # stands for a null text key inside a task
 
 
 def corpus(df: DataFrame, text: str = "search_context") -> DataFrame:
@@ -101,6 +102,13 @@ def unit_vector(vector: str | Column) -> Column:
     return F.when(length > 0, F.transform(vector, lambda x: x / length)).otherwise(vector)
 
 
+def usable(vector: Column, width: int | None = None) -> Column:
+    """Whether a vector can be compared: not null, all parts numbers, and of the width asked for."""
+    numbers = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x))
+    fits = numbers & (F.size(vector) == width) if width is not None else numbers
+    return F.coalesce(fits, F.lit(False))
+
+
 def top_k(
     vectors: DataFrame,
     query: list[float],
@@ -110,10 +118,11 @@ def top_k(
 ) -> DataFrame:
     """The k rows of highest inner product with one vector; of equal scores the smaller key.
 
-    Every partition keeps k rows only.
+    Every partition keeps k rows only. Rows without a vector, with one of another width, or
+    with a part that is no number, have no score and are left out.
     """
     target = F.array(*[F.lit(float(x)) for x in query])
-    scored = vectors.select(key, inner_product(F.col(embedding), target).alias("score"))
+    scored = vectors.where(usable(F.col(embedding), len(query))).select(key, inner_product(F.col(embedding), target).alias("score"))
     return scored.orderBy(F.col("score").desc(), F.col(key)).limit(k)
 
 
@@ -146,11 +155,13 @@ def top_k_batch(
     Up to ``block`` queries (counted first) travel to the tasks, which multiply them with
     each Arrow batch of the corpus and keep k rows per query: a row pair never is a row.
     More queries are laid out with the corpus on a grid, a block of queries by a group of
-    corpus rows per cell, so neither side is held whole anywhere.
+    corpus rows per cell, so neither side is held whole anywhere. Vectors that are null, hold
+    a part that is no number, or are not as wide as the widest query, are left out.
     """
-    asked = queries.select(query_key, embedding).where(F.col(embedding).isNotNull())
-    stored = vectors.select(key, embedding).where(F.col(embedding).isNotNull())
-    count = asked.count()
+    asked = queries.select(query_key, embedding).where(usable(F.col(embedding)))
+    count, width = asked.agg(F.count("*"), F.coalesce(F.max(F.size(embedding)), F.lit(0))).first()
+    asked = asked.where(F.size(embedding) == width)
+    stored = vectors.select(key, embedding).where(usable(F.col(embedding), width))
     types = {f.name: f.dataType.simpleString() for f in (*asked.schema.fields, *stored.schema.fields)}
     output = f"`{query_key}` {types[query_key]}, `{key}` {types[key]}, score double"
     if count <= block:
@@ -229,15 +240,18 @@ def _as_table(queries: pa.Table, query_key: str, key: str, key_type: pa.DataType
     return pa.table(
         {
             query_key: queries[query_key].take(pa.array(rows)),
-            key: pa.array(keys.ravel().tolist(), key_type),
+            key: pa.array([None if v == NO_KEY else v for v in keys.ravel().tolist()], key_type),
             "score": pa.array(scores.ravel(), pa.float64()),
         }
     )
 
 
 def _keys(column: pa.ChunkedArray) -> np.ndarray:
-    values = column.combine_chunks().to_numpy(zero_copy_only=False)
-    return values.astype(str) if values.dtype == object else values
+    """Keys as numbers or texts; a null key sorts first and stays null (see ``_as_table``)."""
+    values = column.combine_chunks()
+    if not pa.types.is_string(values.type):
+        return values.to_numpy(zero_copy_only=False)
+    return np.array([NO_KEY if v is None else v for v in values.to_pylist()], dtype=str)
 
 
 def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 LOG_STEPS = 16  # buckets per unit of log(1 + |x|) in the first pass
 LINEAR_BUCKETS = 4096  # buckets per later pass
+INFINITE, END_BUCKET = float("inf"), 1 << 40  # farther out than any bucket of a finite value
 FEW_ROWS = 50_000  # an interval this small is sorted instead of split again
 
 
@@ -18,15 +19,16 @@ def exact_median(df: DataFrame, value: str | Column, few_rows: int = FEW_ROWS) -
     Each pass counts the rows per bucket of the interval that still holds the middle
     ranks, and keeps the bucket that holds them. Buckets are a monotone function of the
     value, so ranks carry over exactly. A pass is one map-side combined aggregate whose
-    result is bounded by the bucket number, whatever the row count or the skew. Null, NaN
-    and infinite values are left out.
+    result is bounded by the bucket number, whatever the row count or the skew. Infinite
+    values have buckets of their own at the ends. Null and NaN are no values and are left out.
     """
     value = F.col(value) if isinstance(value, str) else value
     x = F.col("x")
     values = df.select(value.cast("double").alias("x")).where(
-        x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+        x.isNotNull() & ~F.isnan(x)
     )
     bucket = F.floor(F.signum(x) * F.log1p(F.abs(x)) * LOG_STEPS)
+    bucket = F.when(F.abs(x) == INFINITE, F.signum(x).cast("long") * END_BUCKET).otherwise(bucket)
     interval = values
     below = 0
     ranks: tuple[int, int] | None = None
@@ -62,7 +64,8 @@ def exact_median(df: DataFrame, value: str | Column, few_rows: int = FEW_ROWS) -
 def median_and_mad(
     df: DataFrame, value: str | Column, approx: bool = False
 ) -> tuple[float | None, float | None]:
-    """Median and median absolute deviation from it.
+    """Median and median absolute deviation from it; the distance of an infinite value to an
+    infinite median is no value.
 
     Only the value column is kept between passes, on executor memory and disk; blocks of
     lost executors are computed again. ``approx`` takes one quantile sketch per number.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterable
 from uuid import uuid4
@@ -57,10 +58,13 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder for written intermediates: what the cluster names, else a local one."""
+    """The shared folder for written intermediates: what the cluster names.
+
+    Only a session without executors elsewhere may go without; it gets a folder of its own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         folder = tempfile.mkdtemp(prefix="probity-")
         spark.sparkContext.setCheckpointDir(folder)
@@ -100,8 +104,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Reads the table at ``path``; builds and writes it first if it is not there."""
-    if not path_exists(spark, path):
+    """Reads the table at ``path``; builds and writes it first if it is not there in full.
+
+    A write that did not end leaves no ``_SUCCESS`` file, and is done again.
+    """
+    if not path_exists(spark, f"{path}/_SUCCESS"):
         write_layer(build(), path)
     return spark.read.parquet(path)
 

@@ -5,17 +5,17 @@ from __future__ import annotations
 from collections import defaultdict
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from probity import functions as P
+from probity.operators.audit import fingerprint
 from probity.operators.conform import align, first_per_key
 from probity.schemas import COMPANY_LINKS, CONSORTIA, PENALTIES, SANCTIONS
 
 from .delimited import read_delimited
-from .layers import empty, materialize
+from .layers import empty, path_exists, write_layer
 
 # File names, source columns and sanction types of the registry feeds.
 BANS_FILE = "sancionados.csv"
@@ -112,7 +112,8 @@ def company_links(raw: DataFrame) -> DataFrame:
         P.normalize_tax_id("RUC").alias("ruc"),
         F.col(COMPANY_NAME).alias("nombre_empresa"),
     ).where(F.col("numero_documento").isNotNull() & F.col("ruc").isNotNull())
-    return align(first_per_key(pairs, ["numero_documento", "ruc"], ["nombre_empresa"]), COMPANY_LINKS)
+    # equal rows go in a hash aggregate, so that little is left for the one that sorts
+    return align(first_per_key(pairs.distinct(), ["numero_documento", "ruc"], ["nombre_empresa"]), COMPANY_LINKS)
 
 
 def read_company_links(spark: SparkSession, folder: str) -> DataFrame:
@@ -147,7 +148,8 @@ def read_consortia(
     """Yearly consortium files (CSV or Parquet) as one table.
 
     Files are grouped by their header, so that the plan has one scan per distinct header
-    and not one per file. Files whose header lacks a column are skipped and reported.
+    and not one per file. The headers of all CSV files are read in one job. Files whose header
+    lacks a column are left out and reported; a file that cannot be read is an error.
     """
     listing = (
         spark.read.format("binaryFile")
@@ -156,14 +158,18 @@ def read_consortia(
         .load(folder)
         .select("path")
     )
+    paths = sorted(row.path for row in listing.collect())
+    tables = [p for p in paths if p.endswith(".parquet")]
+    texts = [p for p in paths if not p.endswith(".parquet")]
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = defaultdict(list)
     skipped: list[str] = []
-    for path in sorted(row.path for row in listing.collect()):
-        kind = "parquet" if path.endswith(".parquet") else "csv"
-        try:
-            groups[kind, tuple(_scan(spark, kind, [path], sep).columns)].append(path)
-        except (PySparkException, Py4JJavaError):
-            skipped.append(path)
+    for path in tables:
+        groups["parquet", tuple(_scan(spark, "parquet", [path], sep).columns)].append(path)
+    shapes: dict[str, list[str]] = defaultdict(list)
+    for path, line in _first_lines(spark, texts).items():
+        shapes[line].append(path)
+    for same in shapes.values():
+        groups["csv", tuple(_scan(spark, "csv", same[:1], sep).columns)] += same
     frames = []
     for (kind, header), paths in groups.items():
         names = {name.lower().strip() for name in header}
@@ -175,33 +181,65 @@ def read_consortia(
     return ConsortiaScan(rows, sorted(skipped))
 
 
+def _first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The first line of each file, in one job over the files' first blocks."""
+    if not paths:
+        return {}
+    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    first = (
+        lines.where("file_block_start = 0")
+        .withColumn("place", F.monotonically_increasing_id())
+        .groupBy("file_path")
+        .agg(F.min_by("value", "place").alias("line"))
+        .collect()
+    )
+    wanted = {unquote(p).split(":", 1)[-1].lstrip("/"): p for p in paths}
+    return {wanted[unquote(r.file_path).split(":", 1)[-1].lstrip("/")]: r.line for r in first}
+
+
 def _scan(spark: SparkSession, kind: str, paths: list[str], sep: str) -> DataFrame:
     return spark.read.parquet(*paths) if kind == "parquet" else read_delimited(spark, paths, sep)
 
 
 @dataclass(frozen=True)
 class Registry:
-    """The four staged reference tables."""
+    """The four staged reference tables, and the consortium files that could not be used."""
 
     sanctions: DataFrame
     company_links: DataFrame
     consortia: DataFrame
     penalties: DataFrame
+    skipped: DataFrame
 
 
-def load_registry(spark: SparkSession, raw_folder: str, staging_folder: str) -> Registry:
-    """Reads the staged tables; those not there yet are built from the raw files and written."""
-    return Registry(
-        sanctions=materialize(
-            spark, f"{staging_folder}/sanctions", lambda: read_sanctions(spark, raw_folder)
-        ),
-        company_links=materialize(
-            spark, f"{staging_folder}/company_links", lambda: read_company_links(spark, raw_folder)
-        ),
-        consortia=materialize(
-            spark, f"{staging_folder}/consortia", lambda: read_consortia(spark, raw_folder).rows
-        ),
-        penalties=materialize(
-            spark, f"{staging_folder}/penalties", lambda: read_penalties(spark, raw_folder)
-        ),
+def raw_state(spark: SparkSession, folder: str) -> DataFrame:
+    """One row that changes with the names, sizes and times of the files below a folder."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(folder)
+        .select("path", "length", "modificationTime")
     )
+    return fingerprint(files)
+
+
+def load_registry(spark: SparkSession, raw_folder: str, staging_folder: str) -> Registry:
+    """Reads the staged tables; builds and writes them first if they are not there in full,
+    or if the raw files are not those they were built from.
+
+    What they were built from is written last, so staging that did not end is done again.
+    """
+    state_path = f"{staging_folder}/built_from"
+    now = raw_state(spark, raw_folder).first()
+    built = path_exists(spark, f"{state_path}/_SUCCESS")
+    if not built or spark.read.parquet(state_path).first() != now:
+        scan = read_consortia(spark, raw_folder)
+        skipped = spark.createDataFrame([(path,) for path in scan.skipped], "path string")
+        write_layer(read_sanctions(spark, raw_folder), f"{staging_folder}/sanctions")
+        write_layer(read_company_links(spark, raw_folder), f"{staging_folder}/company_links")
+        write_layer(scan.rows, f"{staging_folder}/consortia")
+        write_layer(read_penalties(spark, raw_folder), f"{staging_folder}/penalties")
+        write_layer(skipped, f"{staging_folder}/skipped")
+        write_layer(spark.createDataFrame([now]), state_path)
+    tables = ("sanctions", "company_links", "consortia", "penalties", "skipped")
+    return Registry(*(spark.read.parquet(f"{staging_folder}/{name}") for name in tables))

@@ -75,3 +75,35 @@ def test_status_of_layers(spark, tmp_path):
         ("silver", "missing", 0, "degraded"),
     ]
     assert A.layer_status(spark, {"gold": spark.range(3)}).first().overall == "healthy"
+
+
+def test_copies_of_a_key_are_compared_as_bags(spark):
+    def diff(old, new):
+        frames = [spark.createDataFrame([("p", v) for v in side], "global_id string, v int") for side in (old, new)]
+        return sorted((r.field_changed, r.old_value, r.new_value) for r in A.snapshot_diff(*frames).collect())
+
+    assert diff([1, 5], [1, 6]) == [("v", "5", "6")]
+    assert diff([1], [1, 9]) == [("(copies)", "1", "2")]
+    assert diff([1, 1], [1]) == [("(copies)", "2", "1")]
+    assert diff([1, 2, 3], [3, 2, 1]) == []
+    assert diff([1], [2, 3]) == [("(copies)", "1", "2"), ("v", "1", "2"), ("v", "1", "3")]
+    assert diff([1, None], [None, 2]) == [("v", "1", "2")]
+    assert diff([], [1]) == []
+
+
+def test_diff_sorts_no_whole_rows(spark):
+    df = spark.range(10).selectExpr("id AS global_id", "CAST(id AS string) AS v")
+    plan = A.snapshot_diff(df, df)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_fingerprint_sees_nulls(spark):
+    schema = "a string, b string, l array<string>, s struct<x:string,y:string>, m map<string,string>"
+    row = ("x", None, None, ("x", None), {"k": None})
+    same = lambda other: A.same_content(spark.createDataFrame([row], schema), spark.createDataFrame([other], schema))
+    assert same(row)
+    for place, value in ((2, []), (3, (None, "x")), (3, None), (4, {}), (4, None), (4, {"k": ""}), (2, [None])):
+        assert not same((*row[:place], value, *row[place + 1 :]))
+    assert not same((None, "x", *row[2:]))
+    lists = [spark.createDataFrame([(v,)], "l array<string>") for v in (["a", None], [None, "a"], ["a"], [])]
+    assert sum(A.same_content(a, b) for a in lists for b in lists) == len(lists)

@@ -78,10 +78,17 @@ def test_null_pairs_have_no_score():
 @pytest.mark.parametrize("broadcast_names", [20_000, 0])
 @pytest.mark.parametrize(
     ("threshold", "alphabet", "low", "high"),
-    [(0.92, "ABCDEFGHIJ", 3, 40), (0.85, "ABCDE", 1, 9), (0.97, "AB ", 1, 25), (0.9, "ÑÉ😀a1", 2, 12)],
+    [
+        (0.92, "ABCDEFGHIJ", 3, 40),
+        (0.85, "ABCDE", 1, 9),
+        (0.97, "AB ", 1, 25),
+        (0.9, "ÑÉ😀a1", 2, 12),
+        (0.8, "ABCDEFGHIJ", 3, 20),
+        (0.5, "ABCDEFGHIJKLM", 1, 9),
+    ],
 )
 def test_join_equals_brute_force(spark, threshold, alphabet, low, high, broadcast_names):
-    rnd = random.Random(hash((threshold, alphabet)) % 1000)
+    rnd = random.Random(int(threshold * 100) + len(alphabet))
     names = some_names(rnd, 150, alphabet, low, high)
     choices = some_names(rnd, 150, alphabet, low, high)
     as_frame = lambda words: spark.createDataFrame([(w,) for w in [*words, *words, None]], "name string")
@@ -108,8 +115,9 @@ def test_empty_sides(spark, broadcast_names):
 
 def test_threshold_out_of_range(spark):
     names = spark.createDataFrame([("A",)], "name string")
-    with pytest.raises(ValueError):
-        best_matches(names, names, 0.5)
+    for threshold in (0, 1.1):
+        with pytest.raises(ValueError):
+            best_matches(names, names, threshold)
 
 
 SANCTIONS = [

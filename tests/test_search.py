@@ -8,12 +8,12 @@ import pytest
 from probity.operators import search as V
 
 TEXTS = [
-    ("uuid-001", "reforma agraria integral, bonos sociales para el agro y tecnología"),
-    ("uuid-002", "subsidios y apoyo, lucha frontal contra la delincuencia"),
-    ("uuid-003", "inversión en salud universal, construcción de hospitales"),
-    ("uuid-004", "cero tolerancia a la corrupción, modernización digital"),
-    ("uuid-005", "  \n "),
-    ("uuid-006", None),
+    ("k1", "puentes nuevos sobre el río, caminos para los pueblos altos"),
+    ("k2", "escuelas abiertas por la tarde y maestros bien pagados"),
+    ("k3", "parques, árboles y aire limpio en cada barrio"),
+    ("k4", "trenes puntuales, menos ruido y más pasajeros"),
+    ("k5", "  \n "),
+    ("k6", None),
 ]
 
 
@@ -33,9 +33,9 @@ def test_search_finds_the_text_of_the_same_words(texts):
     assert vectors.columns == ["global_id", "search_context", "embedding"]
     lengths = [math.hypot(*r.embedding) for r in vectors.collect()]
     assert lengths == pytest.approx([1] * 4, abs=1e-6)
-    found = V.search(encoder, vectors, "Hospitales y SALUD", k=2).collect()
-    assert found[0].global_id == "uuid-003" and len(found) == 2
-    assert V.search(encoder, vectors, "salud", k=50).count() == 4
+    found = V.search(encoder, vectors, "Arboles y AIRE", k=2).collect()
+    assert found[0].global_id == "k3" and len(found) == 2
+    assert V.search(encoder, vectors, "aire", k=50).count() == 4
 
 
 def test_any_model_can_encode(spark, texts):
@@ -72,7 +72,7 @@ def test_batch_equals_one_by_one(spark, key, block):
         scores = [(-float(vector @ v), name(i)) for i, v in enumerate(stored)]
         expected = [(k, -s) for s, k in sorted(scores)[:7]]
         assert [found[q, rank] for rank in range(1, 8)] == expected
-        one = V.top_k(corpus.where("embedding IS NOT NULL"), list(vector), k=7).collect()
+        one = V.top_k(corpus, list(vector), k=7).collect()
         assert [(r.global_id, r.score) for r in one] == expected
 
 
@@ -82,3 +82,15 @@ def test_fewer_rows_than_asked(spark):
     assert [tuple(r) for r in V.top_k_batch(corpus, queries).collect()] == [(7, 1, 2.0, 1)]
     assert V.top_k_batch(corpus.limit(0), queries).count() == 0
     assert V.top_k_batch(corpus, queries.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block", [100, 1])
+def test_vectors_that_cannot_be_compared_are_left_out(spark, block):
+    nan = float("nan")
+    rows = [("a", [1.0, 0.0]), ("b", [nan, 1.0]), ("c", None), ("d", [1.0]), ("e", [1.0, None]), (None, [0.5, 0.0]), ("f", [])]
+    corpus = spark.createDataFrame(rows, "global_id string, embedding array<float>").repartition(3)
+    queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [nan, 0.0]), (4, None)], "query_id int, embedding array<float>")
+    want = [(1, "a", 1.0, 1), (1, None, 0.5, 2), (2, None, 0.0, 1), (2, "a", 0.0, 2)]
+    found = V.top_k_batch(corpus, queries, k=5, block=block, group=2).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
+    assert [tuple(r) for r in V.top_k(corpus, [1.0, 0.0], k=5).collect()] == [("a", 1.0), (None, 0.5)]

@@ -69,7 +69,11 @@ def test_pages_and_their_envelope(spark):
     assert [r.id for r in last.rows.collect()] == list(range(40, 45)) and not last.has_next
     beyond = G.fetch_page(df, "id", offset=99)
     assert beyond.rows.count() == 0 and not beyond.has_next
-    assert G.page_limit(None) == 20 and G.page_limit(500) == 100
+    assert G.page_limit(None) == 20 and G.page_limit(100) == 100
+    for limit, offset in ((101, 0), (0, 0), (-1, 0), (5, -1)):
+        for refused in (G.page, G.page_info):
+            with pytest.raises(ValueError):
+                refused(*([df, "id"] if refused is G.page else [df]), limit=limit, offset=offset)
     assert G.page_info(df, limit=45).first().has_next is False
 
 
@@ -105,3 +109,22 @@ def test_responses(spark):
     assert [r.risk_flags for r in G.response_rows(df).collect()] == [["x"], []]
     assert G.response_rows(df).columns == ["risk_flags"]
     assert F.col is not None
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_rows_without_key_come_last_and_are_all_reached(spark, descending):
+    df = spark.createDataFrame([(k, f"r{i}") for i, k in enumerate([*range(200), *[None] * 30])], "k int, r string").repartition(4)
+    whole = [r.r for r in G.page(df, "k", 100, 0, descending).collect()]
+    whole += [r.r for r in G.page(df, "k", 100, 100, descending).collect()]
+    whole += [r.r for r in G.page(df, "k", 100, 200, descending).collect()]
+    assert len(whole) == 230 == len(set(whole))
+    for offset in (0, 50, 190, 205, 229, 230):
+        deep = [r.r for r in G.page(df, "k", 20, offset, descending, shallow=10).collect()]
+        assert deep == whole[offset : offset + 20]
+    walked, last, keyless = [], None, 0
+    while page := G.page_after(df, "k", last, 40, descending, keyless).collect():
+        walked += [r.r for r in page]
+        keyless += sum(r.k is None for r in page)
+        last = page[-1].k
+    assert walked == whole
+    assert G.page_info(df, 20, 220).first().total == 230

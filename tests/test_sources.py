@@ -32,12 +32,12 @@ def test_unquoted_files_take_quotes_as_text(spark, tmp_path):
 
 
 def test_one_sanction_is_read_and_normalised(spark, tmp_path):
-    write(tmp_path / "sancionados.csv", f"{HEAD}\n20100047218|EMPRESA TEST|2023-01-01|2023-12-31|MOTIVO|RES-001\n")
+    write(tmp_path / "sancionados.csv", f"{HEAD}\n20987654321|Molinos del Alba S.A.|2019-05-02|2020-05-01|entrega tardía|R-77-2019\n")
     rows = R.read_sanctions(spark, str(tmp_path)).collect()
     assert len(rows) == 1
     assert (rows[0].ruc, rows[0].nombre_empresa_norm, rows[0].tipo_sancion) == (
-        "20100047218",
-        "EMPRESA TEST",
+        "20987654321",
+        "MOLINOS DEL ALBA",
         "INHABILITACION",
     )
 
@@ -95,22 +95,40 @@ def test_consortium_files_with_other_headers_are_skipped_and_named(spark, tmp_pa
     write(tmp_path / "CONOSCE_CONSORCIO_2022.csv", "AÑO| RUC_CONSORCIO |CONSORCIO|RUC_MIEMBRO|MIEMBRO\n2022|1|c|2|m\n")
     write(tmp_path / "CONOSCE_CONSORCIO_2023.csv", "año|ruc_consorcio|consorcio|ruc_miembro|miembro\nx|3|c|4|m\n")
     write(tmp_path / "CONOSCE_CONSORCIO_2024.csv", "a|b\n1|2\n")
-    write(tmp_path / "CONOSCE_CONSORCIO_2025.parquet", "no parquet")
+    write(tmp_path / "CONOSCE_CONSORCIO_2025.csv", "x\n")
     write(tmp_path / "other.csv", "a|b\n1|2\n")
     scan = R.read_consortia(spark, str(tmp_path))
     assert {(r.anio, r.ruc_miembro) for r in scan.rows.collect()} == {
         (2022, "00000000002"),
         (None, "00000000004"),
     }
-    assert [path.rsplit("_", 1)[1] for path in scan.skipped] == ["2024.csv", "2025.parquet"]
+    assert [path.rsplit("_", 1)[1] for path in scan.skipped] == ["2024.csv", "2025.csv"]
+    write(tmp_path / "CONOSCE_CONSORCIO_2026.parquet", "no parquet")
+    with pytest.raises(Exception, match="2026"):
+        R.read_consortia(spark, str(tmp_path))
 
 
 def test_registry_is_built_once_and_then_read(spark, tmp_path):
     raw, staging = tmp_path / "raw", str(tmp_path / "staging")
     write(raw / "sancionados.csv", f"{HEAD}\n1|A|a|b|m|r\n")
     assert R.load_registry(spark, str(raw), staging).sanctions.count() == 1
-    write(raw / "sancionados.csv", f"{HEAD}\n1|A|a|b|m|r\n2|B|a|b|m|r\n")
+    write(tmp_path / "staging/sanctions/_kept", "")
     assert R.load_registry(spark, str(raw), staging).sanctions.count() == 1
+    assert Y.path_exists(spark, staging + "/sanctions/_kept"), "raw files are the same, so nothing is written"
+    write(raw / "sancionados.csv", f"{HEAD}\n1|A|a|b|m|r\n2|B|a|b|m|r\n")
+    write(raw / "CONOSCE_CONSORCIO_2024.csv", "a|b\n1|2\n")
+    changed = R.load_registry(spark, str(raw), staging)
+    assert changed.sanctions.count() == 2
+    assert [r.path.rsplit("/", 1)[1] for r in changed.skipped.collect()] == ["CONOSCE_CONSORCIO_2024.csv"]
+
+
+def test_unfinished_tables_are_built_again(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    build = lambda: spark.range(3)
+    assert Y.materialize(spark, path, build).count() == 3
+    assert Y.materialize(spark, path, lambda: spark.range(5)).count() == 3
+    write(tmp_path / "part/part-0.parquet", "half a file")
+    assert Y.materialize(spark, str(tmp_path / "part"), build).count() == 3
 
 
 def test_layers(spark, tmp_path):

@@ -46,10 +46,21 @@ def test_one_value_may_hold_a_third_of_all_rows(spark):
 
 def test_what_is_no_number_is_left_out(spark):
     numbers = [1.0, None, float("nan"), float("inf"), 4.0, 2.0]
-    assert stats.exact_median(frame(spark, numbers), "x") == 2.0
+    assert stats.exact_median(frame(spark, numbers), "x") == 3.0
     assert stats.exact_median(frame(spark, [None]), "x") is None
 
 
+def test_infinite_values_have_a_rank(spark):
+    inf = float("inf")
+    for few in (50_000, 1):
+        median = lambda numbers: stats.exact_median(frame(spark, numbers), "x", few_rows=few)  # noqa: B023, E731
+        assert median([1.0, 2.0, inf]) == 2.0
+        assert median([-inf, -inf, 5.0, inf]) == -inf
+        assert median([1.0, inf]) == inf
+        assert median([inf] * 3) == inf
+        assert median([-inf, 1e300, -1e300, inf, 7.0]) == 7.0
+
+
 def test_median_and_mad(spark):
     numbers = [1.0, 2.0, 3.0, 4.0, 100.0]
     assert stats.median_and_mad(frame(spark, numbers), "x") == (3.0, 1.0)
