@@ -186,6 +186,7 @@ def _resumes(t: Tables) -> DataFrame:
     income = F.struct(
         F.concat(F.lit("S/ "), F.col("n_chars").cast("string")).alias("decRemuBrutaPublico"),
         F.concat(F.col("doc_id").cast("string"), F.lit(",50")).alias("decRemuBrutaPrivado"),
+        (F.col("n_chars") + 0.25).alias("decRentaIndividualPublico"),
     )
 
     def property_of(line):
@@ -211,12 +212,15 @@ def _resumes(t: Tables) -> DataFrame:
             "lSentenciaPenal"
         ),
         F.array(F.struct(F.col("source").alias("strPersonaJuridica"))).alias("lTitularidad"),
+        F.array_repeat(F.create_map(F.lit("motivo"), F.col("lang")), (F.col("doc_id") % 5).cast("int")).alias(
+            "lRenunciaOP"
+        ),
     )
 
 
 SILVER_SQL = f"""SELECT dni, nombres, apellido_paterno, apellido_materno, fecha_nacimiento, cargo, partido,
         ingresos_totales, cantidad_bienes, valor_total_bienes, conteo_sentencias, experiencia_publica_anios,
-        CAST(0 AS BIGINT) AS cantidad_renuncias, source_category,
+        cantidad_renuncias, source_category,
         {sql_uuid5("CASE WHEN regexp_full_match(dni, '[0-9]{8}') THEN dni ELSE k END")} AS global_id
     FROM (SELECT
         CASE WHEN doc_id % 4 = 0 THEN lpad(CAST(doc_id AS VARCHAR), CAST(greatest(8, length(CAST(doc_id AS VARCHAR))) AS INTEGER), '0')
@@ -232,6 +236,7 @@ SILVER_SQL = f"""SELECT dni, nombres, apellido_paterno, apellido_materno, fecha_
         CAST(CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS conteo_sentencias,
         CAST(list_sum(list_transform(lines, lambda l: CASE WHEN length(l) % 3 <> 0 THEN 0
             WHEN length(l) % 2 = 0 THEN 2 ELSE 1 END)) AS BIGINT) AS experiencia_publica_anios,
+        CAST(doc_id % 5 AS BIGINT) AS cantidad_renuncias,
         CASE doc_id % 2 WHEN 0 THEN 'senadores' ELSE 'diputados' END AS source_category
     FROM (SELECT *, {RESUME_LINES} AS lines FROM documents) d) r"""
 
@@ -265,6 +270,7 @@ def resume_files_to_silver(t: Tables) -> DataFrame:
         F.col("lBienInmueble").alias("bienes_inmuebles"),
         F.col("lBienMueble").alias("bienes_muebles"),
         F.col("lSentenciaPenal").alias("sentencia_penal"),
+        F.struct("lRenunciaOP", "lTitularidad").alias("info_adicional"),
     )
     base = person.dropFields("strNombres", "strApellidoPaterno")
     wrapped = resumes.where("doc_id % 2 = 1").select(
@@ -286,13 +292,13 @@ def resumes_to_silver(t: Tables) -> DataFrame:
         CASE WHEN doc_id % 4 = 0 THEN CAST(doc_id AS VARCHAR) ELSE CAST(doc_id AS VARCHAR) || '00000000' END AS dni,
         upper(source) AS apellido_paterno, 'o''brien-núñez' AS apellido_materno, ' josé  ' || lang AS nombres,
         'partido ' || source AS partido, 'SENADOR nacional' AS cargo_postulacion,
-        0e0 AS total_ingresos,
+        n_chars + 0.25e0 AS total_ingresos,
         CAST(CASE WHEN lang <> 'de' THEN len({RESUME_LINES}) ELSE 0 END AS BIGINT) AS num_propiedades,
         doc_id % 3 = 0 AS tiene_antecedentes
     FROM documents"""
 )
 def candidate_summaries(t: Tables) -> DataFrame:
-    """The domain view; the incomes of these résumés are money text and so count 0."""
+    """The domain view; incomes that are money text count 0, those that are numbers add up."""
     return candidate_summary(flatten_profiles(_conformed_resumes(t)))
 
 

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-_TYPES = {"string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType()}
+_TYPES = {
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "bigint": T.LongType(),
+    "timestamp": T.TimestampType(),
+    "texts": T.ArrayType(T.StringType()),
+}
 
 
 def _schema(columns: str) -> T.StructType:
@@ -27,26 +33,17 @@ SILVER = _schema(
     global_id string"""
 )
 
-_GOLD_WITHOUT_FLAGS = _schema(
+GOLD = _schema(
     """global_id string, dni string, nombres string, apellido_paterno string,
     apellido_materno string, partido string, cargo string, source_category string,
     ingresos_totales double, valor_total_bienes double, conteo_sentencias bigint,
     experiencia_publica_anios bigint, cantidad_renuncias bigint, score_financiero double,
-    score_legal double, score_estabilidad double, score_itr double,
+    score_legal double, score_estabilidad double, score_itr double, risk_flags texts,
     search_context string, osce_match_score double,
     ruc_sancionado string, fup_url string, osce_match_method string,
     osce_sancionada_match string"""
 )
 
-_FLAGS_AT = _GOLD_WITHOUT_FLAGS.names.index("search_context")
-GOLD = T.StructType(
-    [
-        *_GOLD_WITHOUT_FLAGS.fields[:_FLAGS_AT],
-        T.StructField("risk_flags", T.ArrayType(T.StringType())),
-        *_GOLD_WITHOUT_FLAGS.fields[_FLAGS_AT:],
-    ]
-)
-
 SANCTIONS = _schema(
     """ruc string, nombre_empresa string, tipo_sancion string, fecha_inicio string,
     fecha_fin string, motivo string, monto double, numero_resolucion string,
@@ -70,13 +67,6 @@ MATCHES = _schema(
     osce_match_method string, fup_url string"""
 )
 
-PARTIES = T.StructType(
-    [
-        *_schema("id_partido string, nombre string, siglas string, estado string").fields,
-        T.StructField("fecha_inscripcion", T.TimestampType()),
-    ]
-)
-
 PLANS = _schema(
     """id_organizacion_politica string, dimension_social string, dimension_economica string,
     dimension_ambiental string, dimension_institucional string"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
@@ -26,12 +26,16 @@ _MAIN_FIELDS = {
     "strOrganizacionPolitica": "organizacionPolitica",
 }
 
+# résumé columns that one part of a profile holds together, under their own names.
+SHARED_PART = "info_adicional"
+SHARED_COLUMNS = ("lRenunciaOP", "lTitularidad")
+
 _CORRUPT = "_corrupt_record"
 
 
 def wrapped_schema(parts: Mapping[str, str] = PROFILE_PARTS) -> StructType:
     """Every shape in one schema. Parts of a profile stay JSON text until their type is known."""
-    profile = StructType([StructField(name, StringType()) for name in ["principal", *parts]])
+    profile = StructType([StructField(name, StringType()) for name in ["principal", SHARED_PART, *parts]])
     return StructType(
         [
             *RESUME.fields,
@@ -85,8 +89,20 @@ def flatten_profiles(df: DataFrame, parts: Mapping[str, str] = PROFILE_PARTS) ->
     """Wrapped records as flat ones; flat records pass through.
 
     A record is wrapped as the ``data`` of a service response, or as list entry and fetched
-    profile. ``parts`` names the résumé column each part of a profile becomes.
+    profile. ``parts`` names the résumé column each part of a profile becomes; the part
+    ``SHARED_PART`` holds several. Each JSON text is parsed once.
     """
+    wanted = {f.name: f.dataType for f in RESUME.fields}
+    person = _text_struct(f.name for f in wanted["oDatosPersonales"].fields)
+    shared = StructType([StructField(name, wanted[name]) for name in SHARED_COLUMNS])
+    profile = F.col("consolidated_profile")
+    df = df.withColumns(
+        {
+            "_base": F.from_json("base_info", person),
+            "_main": F.from_json(profile["principal"], StructType([StructField("datoGeneral", _text_struct(_MAIN_FIELDS.values()))])),
+            "_more": F.from_json(profile[SHARED_PART], shared),
+        }
+    )
     column_of = {target: F.col(f"consolidated_profile.{part}") for part, target in parts.items()}
     columns = []
     for field in RESUME.fields:
@@ -95,6 +111,8 @@ def flatten_profiles(df: DataFrame, parts: Mapping[str, str] = PROFILE_PARTS) ->
             flat = F.coalesce(flat, F.when(F.col("base_info").isNotNull(), _personal(field.dataType)))
         elif field.name in column_of:
             flat = F.coalesce(flat, _parsed(column_of[field.name], field.dataType))
+        if field.name in SHARED_COLUMNS:
+            flat = F.coalesce(flat, F.col("_more")[field.name])
         columns.append(flat.alias(field.name))
     return df.select(*columns, "source_category", _CORRUPT)
 
@@ -140,15 +158,17 @@ def candidate_summary(resumes: DataFrame) -> DataFrame:
     )
 
 
+def _text_struct(names: Iterable[str]) -> StructType:
+    return StructType([StructField(name, StringType()) for name in names])
+
+
 def _personal(dtype: DataType) -> Column:
     """Personal data of a wrapped record: the list entry first, then the main part."""
-    base = F.col("base_info")
-    main = F.col("consolidated_profile.principal")
     fields = []
     for field in dtype.fields:
-        found = F.get_json_object(base, f"$.{field.name}")
+        found = F.col("_base")[field.name]
         if field.name in _MAIN_FIELDS:
-            found = F.coalesce(found, F.get_json_object(main, f"$.datoGeneral.{_MAIN_FIELDS[field.name]}"))
+            found = F.coalesce(found, F.col("_main.datoGeneral")[_MAIN_FIELDS[field.name]])
         fields.append(found.try_cast(field.dataType).alias(field.name))
     return F.struct(*fields)
 

@@ -162,6 +162,7 @@ WRAPPED = {
         "ingresos": [{"decRemuBrutaPublico": 5}],
         "bienes_inmuebles": {"decValor": 1},
         "sentencia_penal": None,
+        "info_adicional": {"lRenunciaOP": [{"a": "b"}, {}], "lTitularidad": [{"strPersonaJuridica": "Molino"}]},
     },
 }
 
@@ -191,6 +192,7 @@ def test_flat_wrapped_and_broken_files_in_one_scan(spark, tmp_path):
     assert (person.idHojaVida, person.idOrganizacionPolitica) == (12345, "3")
     assert wrapped.lExperienciaLaboral == [] and wrapped.oIngresos.decRemuBrutaPublico == "5"
     assert wrapped.lBienInmueble[0].decValor == "1" and wrapped.lSentenciaPenal is None
+    assert len(wrapped.lRenunciaOP) == 2 and wrapped.lTitularidad[0].strPersonaJuridica == "Molino"
     assert rows["diputados"]._corrupt_record is not None and rows["diputados"].oDatosPersonales is None
 
 
