@@ -118,7 +118,8 @@ def judge(
         lookup(table, min(blocks, count), 8 * (WORDS + 2)), F.col("_at") == F.col("_block"), "left"
     ).withColumn("_possible", F.col("canonical").isNotNull() & F.coalesce(set_in_all, F.lit(False)))
     # pages that cannot be listed get keys of their own, so that they spread over the join
-    key = F.when(F.col("_possible"), F.col("canonical")).otherwise(F.concat(F.lit("\x00"), F.rand(7).cast("string")))
+    own = F.concat(F.lit("\x00"), F.xxhash64("id", "host", "path").cast("string"))
+    key = F.when(F.col("_possible"), F.col("canonical")).otherwise(own)
     exact = lookup(wanted.select(F.col("canonical").alias("_exact")), count, 120)
     return (
         probed.withColumn("_key", key)
