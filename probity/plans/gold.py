@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 
@@ -17,7 +18,7 @@ from probity.operators.risk import (
     stability_score,
     wide_table,
 )
-from probity.sources.layers import path_exists, read_layer, stage, write_layer
+from probity.sources.layers import path_exists, read_layer, replace_layer, write_layer
 
 
 def to_gold(
@@ -54,13 +55,14 @@ def build_gold(
     plans: DataFrame | None = None,
     **options,
 ) -> GoldRun:
-    """Scores once into a staged table, audits it against the last version, then replaces that."""
+    """Writes the new version once, audits it against the last one, then puts it in its place."""
     spark = silver.sparkSession
-    gold = stage(to_gold(silver, company_links, sanctions, plans, **options), "gold")
+    version = f"{gold_path.rstrip('/')}.new-{uuid4().hex}"
+    write_layer(to_gold(silver, company_links, sanctions, plans, **options), version, sort_by="global_id")
     changes = 0
     if path_exists(spark, gold_path):
         changes = log_changes(
-            read_layer(spark, gold_path), gold, audit_path, ["global_id", "source_category"]
+            read_layer(spark, gold_path), read_layer(spark, version), audit_path, ["global_id", "source_category"]
         )
-    write_layer(gold, gold_path, sort_by="global_id")
+    replace_layer(spark, version, gold_path)
     return GoldRun(read_layer(spark, gold_path), changes)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from probity.schemas import PLANS
-from probity.sources.layers import path_exists, read_layer
+from probity.sources.layers import own_work, path_exists, read_layer
 from probity.sources.registry import load_registry
 from probity.sources.resumes import CATEGORIES, read_resumes
 
@@ -36,6 +36,12 @@ def refresh_layers(
     one_record_per_file: bool = True,
     **silver_options,
 ) -> tuple[SilverRun, GoldRun]:
+    """Runs all steps; what they staged on the way is deleted at the end."""
+    with own_work(spark):
+        return _refresh(spark, folders, categories, one_record_per_file, **silver_options)
+
+
+def _refresh(spark, folders, categories, one_record_per_file, **silver_options) -> tuple[SilverRun, GoldRun]:
     resumes = read_resumes(spark, folders.resumes, categories, one_record_per_file=one_record_per_file)
     registry = load_registry(spark, folders.registry, folders.staging)
     silver = build_silver(

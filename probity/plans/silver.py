@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType
@@ -12,7 +13,7 @@ from probity.operators.audit import log_changes
 from probity.operators.conform import money, rename_fields, unnest
 from probity.operators.quality import MAX_ERROR_RATIO, QualityReport, enforce_quality, silver_reason
 from probity.schemas import PERSONAL_FIELDS, SILVER
-from probity.sources.layers import path_exists, read_layer, write_layer
+from probity.sources.layers import path_exists, read_layer, replace_layer, write_layer
 
 INCOME_FIELDS = ("decRemuBrutaPublico", "decRemuBrutaPrivado")
 
@@ -109,7 +110,9 @@ def build_silver(
         changes = log_changes(
             read_layer(spark, silver_path), valid, audit_path, ["global_id", "source_category"]
         )
-    write_layer(valid, silver_path)
+    version = f"{silver_path.rstrip('/')}.new-{uuid4().hex}"
+    write_layer(valid, version)
+    replace_layer(spark, version, silver_path)
     return SilverRun(read_layer(spark, silver_path), report, changes)
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import tempfile
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -14,6 +16,7 @@ from pyspark.sql.types import StructType
 COMPRESSION = "zstd"
 FEW_PIECES = 32
 _MISSING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+_RUN: ContextVar[str] = ContextVar("run", default="")
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -22,8 +25,8 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Asks the file system of the path itself, so that any shared store works."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(jvm_path)
+    files, jvm_path = _path(spark, path)
+    found = files.globStatus(jvm_path)
     return found is not None and len(found) > 0
 
 
@@ -73,13 +76,49 @@ def work_folder(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path for one written intermediate."""
-    return f"{work_folder(spark)}/{name}-{uuid4().hex}"
+    return "/".join(part for part in (work_folder(spark), _RUN.get(), f"{name}-{uuid4().hex}") if part)
+
+
+def _path(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path as it takes it."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, jvm_path = _path(spark, path)
+    files.delete(jvm_path, True)
 
 
 def drop_work(spark: SparkSession) -> None:
     """Deletes what this application staged; tables read back from it end with it."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    delete(spark, work_folder(spark))
+
+
+@contextmanager
+def own_work(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what was staged inside; results must have been written by then."""
+    run = _RUN.set(f"run-{uuid4().hex}")
+    try:
+        yield
+    finally:
+        delete(spark, f"{work_folder(spark)}/{_RUN.get()}")
+        _RUN.reset(run)
+
+
+def replace_layer(spark: SparkSession, version: str, path: str) -> None:
+    """Puts a written version in the place of a layer; the old one goes when the new one is there."""
+    old = f"{path.rstrip('/')}.old-{uuid4().hex}"
+    files, here = _path(spark, path)
+    new, aside = (_path(spark, p)[1] for p in (version, old))
+    had = files.exists(here)
+    if had and not files.rename(here, aside):
+        raise OSError(f"{path} cannot be moved")
+    if not files.rename(new, here):
+        if had:
+            files.rename(aside, here)
+        raise OSError(f"{version} cannot be moved to {path}")
+    files.delete(aside, True)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from probity.operators.paging import lookup
 from probity.operators.quality import DataQualityError
 from probity.plans.refresh import Folders, refresh_layers
 from probity.schemas import GOLD
-from probity.sources.layers import append_history, drop_work, path_exists, read_history, read_layer, work_folder
+from probity.sources.layers import append_history, path_exists, read_history, read_layer, work_folder
 
 
 def resume(number, **changes):
@@ -85,9 +85,9 @@ def test_two_refreshes(spark, folders, tmp_path):
     assert {"cantidad_renuncias", "score_estabilidad", "score_itr"} <= fields
     assert gold.changes == 3
 
-    kept = read_layer(spark, folders.gold).count()
-    drop_work(spark)
-    assert not path_exists(spark, work_folder(spark)) and read_layer(spark, folders.gold).count() == kept
+    assert not path_exists(spark, f"{work_folder(spark)}/run-*"), "a run deletes what it staged"
+    assert not path_exists(spark, f"{tmp_path}/*.new-*") and not path_exists(spark, f"{tmp_path}/*.old-*")
+    assert path_exists(spark, f"{folders.gold}/_SUCCESS")
 
 
 def test_too_many_bad_records_stop_before_silver_is_replaced(spark, folders, tmp_path):
