@@ -9,6 +9,8 @@ from probity.functions.identifiers import IDENTITY_NAMESPACE
 from probity.operators import dossier as D
 from probity.operators import paging as G
 
+from probity.sources.layers import read_layer, work_path, write_layer
+
 from .cleaning import sql_uuid5
 from .registered import Tables, query
 from .sources import pad
@@ -103,6 +105,23 @@ def page(t: Tables) -> DataFrame:
     return G.page(_ranked(t), "global_id", offset=40)
 
 
+@query(
+    f"""SELECT *, {sql_uuid5('dni')} AS global_id, 'page' AS kind FROM (SELECT * FROM ranked ORDER BY {sql_uuid5('dni')}
+        LIMIT 20 OFFSET 40) p
+    UNION ALL SELECT *, {sql_uuid5('dni')}, 'row' FROM ranked WHERE c_custkey = 42""",
+    ranked=RANKED,
+)
+def page_layer(t: Tables) -> DataFrame:
+    """A page and a row of a layer written in ranges of the key, as Gold is."""
+    path = work_path(t.spark, "served")
+    write_layer(_ranked(t), path, sort_by="global_id")
+    layer = read_layer(t.spark, path)
+    row = G.lookup(layer, "global_id", str(uuid5(UUID(IDENTITY_NAMESPACE), "00000042")))
+    return G.page(layer, "global_id", offset=40).withColumn("kind", F.lit("page")).unionAll(
+        row.withColumn("kind", F.lit("row"))
+    )
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey DESC LIMIT 100 OFFSET 1100")
 def deep_page(t: Tables) -> DataFrame:
     """A page far down, found by counting key ranges instead of holding all rows before it."""

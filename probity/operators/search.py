@@ -118,12 +118,15 @@ def top_k(
 ) -> DataFrame:
     """The k rows of highest inner product with one vector; of equal scores the smaller key.
 
-    Every partition keeps k rows only. Rows without a vector, with one of another width, or
-    with a part that is no number, have no score and are left out.
+    Every task multiplies its Arrow batches with the vector and keeps k rows only. Rows
+    without a vector, with one of another width, or with a part that is no number, have no
+    score and are left out.
     """
-    target = F.array(*[F.lit(float(x)) for x in query])
-    scored = vectors.where(usable(F.col(embedding), len(query))).select(key, inner_product(F.col(embedding), target).alias("score"))
-    return scored.orderBy(F.col("score").desc(), F.col(key)).limit(k)
+    stored = vectors.select(key, embedding).where(usable(F.col(embedding), len(query)))
+    asked = pa.table({"_query": [0], embedding: [[float(x) for x in query]]})
+    output = f"_query long, `{key}` {stored.schema[key].dataType.simpleString()}, score double"
+    found = stored.mapInArrow(_best_per_task(asked, key, "_query", embedding, k), output)
+    return found.select(key, "score").orderBy(F.col("score").desc(), F.col(key)).limit(k)
 
 
 def search(
