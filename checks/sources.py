@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from probity import functions as P
 from probity.plans.silver import to_silver
 from probity.sources.delimited import read_delimited
-from probity.sources.layers import export_csv, materialize, read_layer, work_path, write_layer
+from probity.sources.layers import delete, export_csv, materialize, move_file, read_layer, work_path, write_layer
 from probity.sources.registry import load_registry, read_consortia, read_penalties, read_sanctions
 from probity.sources.resumes import candidate_summary, flatten_profiles, read_resumes, rename_items
 
@@ -149,6 +149,29 @@ def company_link_file(t: Tables) -> DataFrame:
     return load_registry(t.spark, folder, staging).company_links
 
 
+@query(
+    """SELECT 'table' AS what, trim(person) AS numero_documento, lpad(tax_id, 11, '0') AS ruc,
+        min(name || ' bis') AS nombre_empresa FROM file GROUP BY 2, 3
+    UNION ALL SELECT 'skipped', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), 'CONOSCE_CONSORCIO_x'""",
+    file=COMPANY_LINK_FILE,
+)
+def registry_restaged(t: Tables) -> DataFrame:
+    """Raw files that changed are staged anew, also over staging that did not end; what was left out is told."""
+    folder, staging = _sanction_folder(t), work_path(t.spark, "staging")
+    names = ("NUMERO_DOCUMENTO", "RUC", "NOMBRE_RAZONODENOMINACIONSOCIAL")
+    rows = t.sql(COMPANY_LINK_FILE)
+    _write(rows.toDF(*names).limit(10), f"{folder}/conformacion_juridica.csv")
+    load_registry(t.spark, folder, staging)
+    delete(t.spark, f"{folder}/conformacion_juridica.csv")
+    _write(rows.withColumn("name", F.concat("name", F.lit(" bis"))).toDF(*names), f"{folder}/conformacion_juridica.csv")
+    t.nation.coalesce(1).write.csv(f"{folder}/other", header=True, sep="|")
+    move_file(t.spark, f"{folder}/other/part-*.csv", f"{folder}/CONOSCE_CONSORCIO_x")
+    registry = load_registry(t.spark, folder, staging)
+    told = registry.skipped.select(F.regexp_extract("path", "[^/]+$", 0).alias("nombre_empresa"))
+    table = registry.company_links.withColumn("what", F.lit("table"))
+    return table.unionByName(told.withColumn("what", F.lit("skipped")), allowMissingColumns=True)
+
+
 @query("SELECT c_custkey, c_name, c_mktsegment || '|\"' || c_name AS odd FROM customer")
 def layer_round_trip(t: Tables) -> DataFrame:
     """Parquet layer, CSV export and tolerant read, in a row."""

@@ -90,6 +90,14 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(jvm_path, True)
 
 
+def move_file(spark: SparkSession, pattern: str, path: str) -> None:
+    """Gives the one file that matches a pattern another place in the same store."""
+    files, wanted = _path(spark, pattern)
+    (found,) = files.globStatus(wanted)
+    if not files.rename(found.getPath(), _path(spark, path)[1]):
+        raise OSError(f"{pattern} cannot be moved")
+
+
 def drop_work(spark: SparkSession) -> None:
     """Deletes what this application staged; tables read back from it end with it."""
     delete(spark, work_folder(spark))
