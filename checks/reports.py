@@ -104,3 +104,25 @@ DETAIL = "SELECT c_custkey, 'detalle ' || c_name AS c_name, c_acctbal + 1 AS c_a
 )
 def backfill(t: Tables) -> DataFrame:
     return R.backfill(t.sql(GAPS), t.sql(DETAIL), "c_custkey", ["c_name", "c_acctbal"])
+
+
+@query(
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'first' WHEN c_custkey % 5 <> 0 THEN 'detail' END AS nivel,
+        CAST(CASE WHEN c_custkey % 3 = 0 THEN 1 WHEN c_custkey % 5 <> 0 THEN 2 ELSE 0 END AS BIGINT) AS n
+    FROM customer"""
+)
+def backfill_maps(t: Tables) -> DataFrame:
+    """Free sections are maps: empty and null ones are filled from the second source, copies of it count once."""
+    key = F.col("c_custkey")
+    empty = F.create_map().cast("map<string,string>")
+    first = t.customer.select(
+        "c_custkey",
+        F.when(key % 3 == 0, F.create_map(F.lit("nivel"), F.lit("first"))).when(key % 2 == 0, empty).alias("oEduBasica"),
+    )
+    more = F.create_map(F.lit("nivel"), F.lit("detail"), F.lit("a"), key.cast("string"))
+    detail = t.customer.where("c_custkey % 5 <> 0").select("c_custkey", more.alias("oEduBasica"))
+    filled = R.backfill(first, detail.unionAll(detail), "c_custkey", ["oEduBasica"])
+    section = F.col("oEduBasica")
+    return filled.select(
+        "c_custkey", section["nivel"].alias("nivel"), F.coalesce(F.size(section), F.lit(0)).cast("bigint").alias("n")
+    )

@@ -172,6 +172,25 @@ def registry_restaged(t: Tables) -> DataFrame:
     return table.unionByName(told.withColumn("what", F.lit("skipped")), allowMissingColumns=True)
 
 
+@query(
+    """SELECT 'written' AS layer, count(*) AS n, sum(c_custkey)::BIGINT AS keys FROM customer
+    UNION ALL SELECT 'missing', 0, NULL UNION ALL SELECT 'empty', 0, NULL"""
+)
+def tolerant_layers(t: Tables) -> DataFrame:
+    """A layer that is there, one that never was, and one without rows, by one schema."""
+    rows = t.customer.select("c_custkey", "c_name")
+    paths = {name: work_path(t.spark, name) for name in ("written", "missing", "empty")}
+    write_layer(rows, paths["written"], sort_by="c_custkey")
+    write_layer(rows.limit(0), paths["empty"])
+    counted = [
+        read_layer(t.spark, path, rows.schema)
+        .agg(F.count("*").alias("n"), F.sum("c_custkey").alias("keys"))
+        .select(F.lit(name).alias("layer"), "n", "keys")
+        for name, path in paths.items()
+    ]
+    return counted[0].unionAll(counted[1]).unionAll(counted[2])
+
+
 @query("SELECT c_custkey, c_name, c_mktsegment || '|\"' || c_name AS odd FROM customer")
 def layer_round_trip(t: Tables) -> DataFrame:
     """Parquet layer, CSV export and tolerant read, in a row."""
