@@ -48,15 +48,13 @@ def record(name: Column, uri: Column, body: Column) -> Column:
     )
 
 
-def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", uri_col: str = "url", body_col: str = "html") -> None:
+def write_archive(
+    pages: DataFrame, path: str, id_col: str = "page_id", uri_col: str = "url", body_col: str = "html"
+) -> None:
     """Writes a record per row. Files are pieces of the input's partitions, so nothing is shuffled."""
     at = F.monotonically_increasing_id()
-    rows = pages.select(
-        at.alias("at"),
-        record(F.concat(F.lit("urn:page:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))), F.col(uri_col), F.col(body_col)).alias(
-            "value"
-        ),
-    )
+    name = F.concat(F.lit("urn:page:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
+    rows = pages.select(at.alias("at"), record(name, F.col(uri_col), F.col(body_col)).alias("value"))
     # the upper bits of ``at`` are the partition, the lower ones count its rows
     part, inside = F.expr("shiftright(at, 33)"), F.expr(f"at % {1 << 33} div {RECORDS}")
     rows = rows.withColumn("file", F.format_string("%06d-%06d", part, inside))
