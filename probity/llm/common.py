@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from probity._shipping import ship_by_value
+
+ship_by_value(__name__)
+
 #: Words as runs of anything but ASCII blanks, and as runs of a-z, 0-9 and letters beyond ASCII.
 BLANK_WORD = r"[^\x20\x09-\x0D]+"
 LETTER_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -57,3 +62,16 @@ def literal_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> D
     """A table of a few constant rows, built by Spark from literals."""
     cells = [F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row))) for row in rows]
     return spark.range(1).select(F.inline(F.array(*cells)))
+
+
+def slices(texts: list, chars: int) -> Iterator[list]:
+    """Texts in groups of about so many characters, so that a task's memory is bounded by them."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text or "")
+        if size >= chars:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group

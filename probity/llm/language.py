@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from probity._shipping import ship_by_value
 
+from .common import slices
+
 ship_by_value(__name__)
 
 #: Rows per language that are learned from, and the most languages: the bounds of the sample.
@@ -30,6 +32,8 @@ SWITCH = 12.0
 #: A script belongs to a language if this share of its letters is written in it.
 SCRIPT_SHARE = 0.01
 UNKNOWN = "und"
+#: Characters labelled in one go, the longest text excepted.
+SLICE_CHARS = 4_000_000
 
 #: Scripts by ranges of code points (fixed values, from the Unicode blocks); all else is "other".
 SCRIPTS = {
@@ -69,13 +73,17 @@ def letters(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def grams(vocabulary: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Per order the bucket of each n-gram and the word it is of; and each word's script."""
+def spread_out(vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The words' code points, parted by blanks, and where the blanks are."""
     points = np.frombuffer((" " + " ".join(vocabulary) + " ").encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
-    blank = points == 32
+    return points, points == 32
+
+
+def grams(vocabulary: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per order the bucket of each n-gram and the word it is of."""
+    points, blank = spread_out(vocabulary)
     word = np.cumsum(blank) - 1
     inner = np.concatenate(([0], np.cumsum(blank)))
-    out = []
     for n in ORDERS:
         size = len(points) - n + 1
         mixed = np.zeros(size, np.uint64)
@@ -86,24 +94,28 @@ def grams(vocabulary: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
         owner = word[:size]
         good = ~blank[:size] if n == 1 else inner[n - 1 : n - 1 + size] == inner[1 : 1 + size]
         good = good & (owner < len(vocabulary))
-        out.append(np.stack([(mixed[good] % np.uint64(BUCKETS)).astype(np.int64), owner[good]]))
+        yield (mixed[good] % np.uint64(BUCKETS)).astype(np.int32), owner[good].astype(np.int32)
+
+
+def scripts_of(vocabulary: list[str]) -> np.ndarray:
+    """The script of each word, by its first letter."""
+    points, blank = spread_out(vocabulary)
     first = np.nonzero(blank)[0][:-1] + 1
     lead = points[first].astype(np.int64)
     script = np.full(len(vocabulary), len(SCRIPTS))
     for number, ranges in enumerate(SCRIPTS.values()):
         for low, high in ranges:
             script[(lead >= low) & (lead <= high)] = number
-    return out, script
+    return script
 
 
 def word_scores(vocabulary: list[str], model: Model) -> np.ndarray:
     """(words, languages): mean over the orders of the log shares, as far as the script allows."""
-    found, script = grams(vocabulary)
     scores = np.zeros((len(vocabulary), len(model.languages)), np.float32)
-    for logs, (bucket, owner) in zip(model.logs, found):
+    for logs, (bucket, owner) in zip(model.logs, grams(vocabulary)):
         for l in range(scores.shape[1]):
             scores[:, l] += np.bincount(owner, logs[bucket, l], len(vocabulary)) / len(ORDERS)
-    allowed = model.scripts[script]
+    allowed = model.scripts[scripts_of(vocabulary)]
     none = ~allowed.any(1)
     scores[~allowed] = -1e4
     scores[none] = 0
@@ -196,7 +208,9 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for lang, texts in batch.groupby("lang")["text"]:
+            for lang, texts in (
+                (lang, group) for lang, all_of in batch.groupby("lang")["text"] for group in slices(list(all_of), SLICE_CHARS)
+            ):
                 known = Codes()
                 times: list[np.ndarray] = []
                 for text in texts:
@@ -204,12 +218,11 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
                 if not known:
                     continue
                 often = np.bincount(np.concatenate(times), minlength=len(known))
-                found, script = grams(list(known))
                 size = np.fromiter(map(len, known), np.int64, len(known))
                 have = sums.setdefault(place[lang], np.zeros(BUCKETS * len(ORDERS) + len(SCRIPTS) + 1, np.int64))
-                for k, (bucket, owner) in enumerate(found):
+                for k, (bucket, owner) in enumerate(grams(list(known))):
                     have[k * BUCKETS : (k + 1) * BUCKETS] += np.bincount(bucket, often[owner], BUCKETS).astype(np.int64)
-                have[len(ORDERS) * BUCKETS :] += np.bincount(script, often * size, len(SCRIPTS) + 1).astype(np.int64)
+                have[len(ORDERS) * BUCKETS :] += np.bincount(scripts_of(list(known)), often * size, len(SCRIPTS) + 1).astype(np.int64)
         for lang, have in sums.items():
             at = np.nonzero(have)[0]
             yield pd.DataFrame({"lang": np.int32(lang), "at": at, "n": have[at]})
@@ -250,7 +263,8 @@ def found(text: Column, model: Model) -> Column:
     @F.pandas_udf("lang_pred string, score double, spans array<struct<first:int,last:int,lang:string>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            names, share, spans = label(batch.tolist(), model)
-            yield pd.DataFrame({"lang_pred": names, "score": share, "spans": spans})
+            parts = [label(group, model) for group in slices(batch.tolist(), SLICE_CHARS)]
+            names, share, spans = ([x for part in parts for x in part[i]] for i in range(3))
+            yield pd.DataFrame({"lang_pred": names, "score": np.array(share, float), "spans": spans})
 
     return run(text)
