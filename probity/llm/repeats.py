@@ -23,15 +23,13 @@ from pyspark.sql import functions as F
 from probity._shipping import ship_by_value
 from probity.sources.layers import stage
 
-from .common import lookup
-
 ship_by_value(__name__)
 
 LENGTH, GRAM = 400, 16
 #: Bytes of text that one suffix array is built over, unless a single anchor has more.
-TEXT = 1 << 20
-#: Anchors with more different pieces than this are not gathered in one task.
-CROWD = 4_000
+TEXT = 1 << 18
+#: Anchors whose different pieces have more bytes than this are not gathered in one task.
+CROWD = 4 << 20
 #: Text hashed for anchors in one go.
 CHUNK = 1 << 20
 
@@ -156,18 +154,15 @@ def suffix_order(text: bytes, starts: np.ndarray) -> np.ndarray:
     bytes_ = np.frombuffer(text, np.uint8)
     direct = smaller_than_next(bytes_)
     # a start needs the positions up to the next directly sorted one
-    sorted_at = np.nonzero(direct)[0]
-    nxt = np.full(len(bytes_), len(bytes_) - 1)
-    place = np.searchsorted(sorted_at, np.arange(len(bytes_)))
-    inside = place < len(sorted_at)
-    nxt[inside] = sorted_at[place[inside]]
-    cover = np.zeros(len(bytes_) + 1, np.int64)
+    place = np.arange(len(bytes_), dtype=np.int32)
+    nxt = np.where(direct, place, np.int32(len(bytes_) - 1))
+    nxt = np.minimum.accumulate(nxt[::-1])[::-1]
+    cover = np.zeros(len(bytes_) + 1, np.int32)
     np.add.at(cover, starts, 1)
     np.add.at(cover, nxt[starts] + 1, -1)
     needed = np.cumsum(cover)[:-1] > 0
-    first = np.nonzero(needed & direct)[0].tolist()
-    first.sort(key=lambda p: text[p : p + LENGTH])
-    seeds = np.array(first, np.int64)
+    seeds = np.nonzero(needed & direct)[0]
+    seeds = seeds[np.argsort(bytes_[seeds], kind="stable")]
     seed_bucket = np.searchsorted(bytes_[seeds], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     order: list[np.ndarray] = []
@@ -194,10 +189,12 @@ def suffix_order(text: bytes, starts: np.ndarray) -> np.ndarray:
         while len(found):
             order.append(found)
             found = scan(found, bucket)
-        mine = seeds[seed_bucket[bucket] : seed_bucket[bucket + 1]]
-        if len(mine):
-            order.append(mine)
-            scan(mine, bucket)
+        mine = seeds[seed_bucket[bucket] : seed_bucket[bucket + 1]].tolist()
+        if mine:
+            # sorted bucket by bucket, so that only one bucket's keys are held
+            mine.sort(key=lambda p: text[p : p + LENGTH])
+            order.append(np.array(mine, np.int64))
+            scan(order[-1], bucket)
     return np.concatenate(order) if order else np.zeros(0, np.int64)
 
 
@@ -252,13 +249,13 @@ def sort_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield flush()
 
 
-def with_bytes(docs: DataFrame, wanted: DataFrame, count: int) -> DataFrame:
+def with_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The pieces with their bytes, cut from the texts that hold them."""
     part = F.struct("anchor", "low", "high", "copies", "first", "windows")
     mine = wanted.groupBy(F.col("id").alias("_id"), F.col("text_key").alias("_key")).agg(F.collect_list(part).alias("p"))
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
     return (
-        docs.join(lookup(mine, count, 56), same)
+        docs.join(mine, same)
         .select(F.col("text").cast("binary").alias("bytes"), F.inline("p"))
         .select("anchor", "low", "high", "copies", F.expr(f"substring(bytes, first + 1, windows + {LENGTH - 1}) AS piece"))
     )
@@ -309,26 +306,30 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     every = stage(cut(docs), "pieces")
-    place = F.min(F.struct("id", "text_key", "first", "windows")).alias("place")
-    kinds = every.groupBy("anchor", "low", "high").agg(F.count(F.lit(1)).alias("copies"), place)
-    shared = kinds.groupBy(F.col("anchor").alias("_anchor")).agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("kinds"))
+    # all from one row, whichever: the aggregate holds them side by side, and is hashed
+    place = [F.first(c).alias(c) for c in ("id", "text_key", "first", "windows")]
+    kinds = every.groupBy("anchor", "low", "high").agg(F.count(F.lit(1)).alias("copies"), *place)
+    shared = kinds.groupBy(F.col("anchor").alias("_anchor")).agg(
+        F.sum("copies").alias("n"), F.sum(F.col("windows") + (LENGTH - 1)).alias("bytes")
+    )
     wanted = stage(
         kinds.join(shared.where("n > 1"), F.col("anchor") == F.col("_anchor")).select(
-            "anchor", "low", "high", "copies", "place.*", "kinds"
+            "anchor", "low", "high", "copies", "id", "text_key", "first", "windows", "bytes"
         ),
         "shared-pieces",
     )
-    count = wanted.count()
-    few = with_bytes(docs, wanted.where(F.col("kinds") <= CROWD), count)
-    crowd = with_bytes(docs, wanted.where(F.col("kinds") > CROWD), count)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    few = with_bytes(docs, wanted.where(F.col("bytes") <= CROWD))
     found = few.repartition(tasks, "anchor").sortWithinPartitions("anchor").mapInPandas(sort_pieces, FOUND)
-    found = stage(found.union(crowd_runs(crowd).to(found.schema)), "repeats")
+    crowd = wanted.where(F.col("bytes") > CROWD)
+    if not crowd.isEmpty():
+        found = found.union(crowd_runs(with_bytes(docs, crowd)).to(found.schema))
+    found = stage(found, "repeats")
     span = F.struct(
         (F.col("first") + F.col("run.first")).alias("begin"), (F.col("first") + F.col("run.last") + LENGTH).alias("end")
     )
     spans = (
-        every.join(lookup(found, found.count(), 72), ["anchor", "low", "high"])
+        every.join(found, ["anchor", "low", "high"])
         .withColumn("run", F.explode("runs"))
         .groupBy("id", "text_key")
         .agg(F.collect_list(span).alias("spans"))
@@ -385,7 +386,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
     return (
-        rows.join(lookup(spans, spans.count(), 96), same, "left")
+        rows.join(spans, same, "left")
         .select("id", F.col("text").cast("binary"), "spans")
         .mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
         .withColumnRenamed("id", id_col)

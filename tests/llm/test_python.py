@@ -211,7 +211,7 @@ def passages(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed, crowd, size", [(1, None, None), (2, 2, None), (3, None, 2000)])
+@pytest.mark.parametrize("seed, crowd, size", [(1, None, None), (2, 1500, None), (3, None, 2000)])
 def test_repeats(documents, monkeypatch, seed, crowd, size):
     monkeypatch.setattr(repeats, "CROWD", crowd or repeats.CROWD)
     monkeypatch.setattr(repeats, "TEXT", size or repeats.TEXT)
