@@ -27,15 +27,15 @@ from pyspark.sql import functions as F
 from probity._shipping import ship_by_value
 from probity.sources.layers import work_path
 
-from .common import lookup
+from .common import lookup, slices
 
 ship_by_value(__name__)
 
 MAGIC, VERSION, HEADER = b"TIDB", 1, "<4sBBHIQ"
 #: A block is closed at this many ids, or after the text that crosses it.
 BLOCK_IDS = 1 << 20
-#: Pieces of text remembered by a task, and characters looked at in one go.
-REMEMBERED, SLICE_CHARS = 400_000, 4_000_000
+#: Pieces of text remembered by a worker, and characters looked at in one go.
+REMEMBERED, SLICE_CHARS = 500_000, 3_000_000
 #: An id that cannot be null in a block; a null text id is kept as this value (fixed).
 NO_ID = -(1 << 63)
 
@@ -80,6 +80,14 @@ def read_block(block: bytes) -> tuple[np.ndarray, np.ndarray, int, memoryview]:
     return index[:, 0], index[:, 1], width, memoryview(block)[struct.calcsize(HEADER) + index.nbytes :]
 
 
+class Numbers(dict):
+    """Numbers texts in the order in which they come."""
+
+    def __missing__(self, text: str) -> int:
+        self[text] = number = len(self)
+        return number
+
+
 class Encoder:
     """A byte-level BPE of the tokenizers library that encodes each different piece once.
 
@@ -101,14 +109,25 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.forget()
 
+    @staticmethod
+    def of(path: str) -> Encoder:
+        """The worker's encoder: it outlives a task where Spark uses a worker again."""
+        import tokenizers
+
+        kept = vars(tokenizers).setdefault("_encoders_by_path", {})
+        if path not in kept:
+            kept[path] = Encoder(path)
+        return kept[path]
+
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known, self.heads = Numbers(), {}
         self.clean = np.zeros(0, bool)
         self.ids = np.zeros(0, np.uint32)
         self.begin = np.zeros(1, np.int64)
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        # without offsets, which the library would otherwise keep for every token
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def learn(self, pieces: list[str]) -> None:
         """Encodes new pieces, each with a blank before it, in one call."""
@@ -130,9 +149,6 @@ class Encoder:
         known, old, coded = self.known, len(self.known), []
         for text in texts:
             pieces = text.split(" ")
-            for p in pieces:
-                if p not in known:
-                    known[p] = len(known)
             coded.append(np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces)))
         fresh = list(itertools.islice(known, old, None))
         if fresh:
@@ -144,26 +160,15 @@ class Encoder:
                 out.append(self.whole(text))
                 continue
             head = text[: text.find(" ")] if len(rest) else text
+            if head not in self.heads:
+                self.heads[head] = self.whole(head)
             size = self.begin[rest + 1] - self.begin[rest]
             end = np.cumsum(size)
             at = np.arange(end[-1] if len(end) else 0) + np.repeat(self.begin[rest] - (end - size), size)
-            out.append(np.concatenate((self.whole(head), self.ids[at])))
+            out.append(np.concatenate((self.heads[head], self.ids[at])))
         return out
 
 
-def slices(texts: list[str]) -> Iterator[list[str]]:
-    """Texts in groups of about ``SLICE_CHARS`` characters."""
-    group, size = [], 0
-    for text in texts:
-        group.append(text)
-        size += len(text)
-        if size >= SLICE_CHARS:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
 BLOCKS = "part int, block int, texts long, ids long, data binary"
 
 
@@ -189,7 +194,7 @@ def write_tokens(
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder = Encoder(tokenizer)
+        encoder = Encoder.of(tokenizer)
         names, sizes, ids, held, number = [], [], [], 0, 0
 
         def close() -> pa.RecordBatch:
@@ -202,7 +207,7 @@ def write_tokens(
 
         for batch in batches:
             keys = iter(batch.column(0).to_pylist())
-            for group in slices(batch.column(1).to_pylist()):
+            for group in slices(batch.column(1).to_pylist(), SLICE_CHARS):
                 for one in encoder.encode(group):
                     key = next(keys)
                     names.append(NO_ID if key is None else key)
