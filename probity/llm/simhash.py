@@ -9,7 +9,7 @@ their own, by smaller trees, and give spanning links; components are joined in r
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -230,10 +230,10 @@ def fingerprinted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def component_of(rows: DataFrame) -> DataFrame:
+def component_of(rows: DataFrame, find: Callable[[DataFrame], DataFrame] = links) -> DataFrame:
     """Per distinct fingerprint: (fp, root, component_id), the least id of its component."""
     fps = stage(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
-    points = stars(links(fps.select("fp"))).select(F.col("u").alias("fp"), F.col("v").alias("to"))
+    points = stars(find(fps.select("fp"))).select(F.col("u").alias("fp"), F.col("v").alias("to"))
     rooted = fps.join(points, "fp", "left").select("fp", "least", F.coalesce("to", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return rooted.select("fp", "root").join(ids, "root")
@@ -259,9 +259,13 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Of rows that repeat that id one stays, by the hash of its text; equal rows are one.
     """
     rows = fingerprinted(docs, id_col, text_col)
+    return first_of_each(docs, rows.join(component_of(rows), "fp"), id_col, text_col)
+
+
+def first_of_each(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The document of the least id of each component, from (id, text_key, root, component_id)."""
     chosen = (
-        rows.join(component_of(rows), "fp")
-        .where(F.col("id").eqNullSafe(F.col("component_id")))
+        rows.where(F.col("id").eqNullSafe(F.col("component_id")))
         .groupBy("root")
         .agg(F.min(F.struct("id", "text_key")).alias("c"))
         .select(F.col("c.id").alias("_id"), F.col("c.text_key").alias("_key"))
