@@ -1,13 +1,14 @@
 """Benchmark items in documents, also with other numbers, names and units.
 
 Both sides are brought to templates: numbers, names and units become typed placeholders.
-Windows of template words are joined by hash; matches are gathered by item and diagonal; and
-a match whose placeholders do not stand for the same values throughout does not count there.
+Windows of template words are joined by hash; matches are gathered by item and diagonal;
+neighbouring diagonals form an occurrence; and a diagonal whose placeholders do not stand for
+the same values as the rest of the occurrence does not count there.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from probity.sources.layers import stage
@@ -18,6 +19,8 @@ from .common import lookup, rolling, split_words, whole
 WINDOW, LITERAL = 5, 3
 #: An item is in a document if this share of its words is, or so many words in a row.
 SIMILAR, RUN = 0.8, 13
+#: Diagonals this close to one (words put in or left out) belong to the same occurrence.
+NEIGHBOUR = 8
 
 #: Units that count as such after a number (fixed values).
 UNITS = (
@@ -122,9 +125,11 @@ def contaminated(
 ) -> DataFrame:
     """The items found in each document: id, ``text_key``, item, ``coverage``, ``run``, ``kind``.
 
-    ``kind`` is ``exact`` if all placeholders stand for the item's own values, ``changed`` if
-    each value of the item was replaced by one other value throughout, and ``literal`` if the
-    replacements contradict each other and only windows without placeholders were counted.
+    An item is found if one of its occurrences is sound: a diagonal with those near it, or all
+    diagonals of the document together; the best one is reported. ``kind`` is ``exact`` if all
+    placeholders stand for the item's own values, ``changed`` if each value of the item was
+    replaced by one other value throughout, and ``literal`` if the replacements contradict
+    each other and only windows without placeholders were counted.
     Null and empty texts hold nothing; items of fewer than five words cannot be found; rows
     that repeat an id are judged one by one, equal items are all named. Empty tables give an
     empty result; other columns are ignored.
@@ -142,31 +147,46 @@ def contaminated(
             F.array_sort(F.collect_set(F.when(~F.col("slot"), F.col("item_pos")))).alias("literal_at"),
         )
     )
+    whose = ["id", "text_key", "item_id", "item_words"]
+    possible = stage(matches.groupBy(*whose).agg(F.collect_list(span()).alias("spans")).where(found("spans")), "candidates")
+    near = Window.partitionBy(*whose).orderBy("diagonal").rangeBetween(-NEIGHBOUR, NEIGHBOUR)
     candidates = (
-        matches.groupBy("id", "text_key", "item_id", "item_words")
+        possible.select(*whose, F.inline("spans"))
+        .withColumn("near", F.collect_list(span()).over(near))
+        .groupBy(*whose)
         .agg(
-            F.collect_list(F.struct("diagonal", "all_at", "literal_at")).alias("spans"),
-            F.max(longest_run(F.col("all_at"))).alias("run"),
+            F.collect_list(span()).alias("spans"),
+            F.collect_list(F.when(found("near"), F.col("diagonal"))).alias("occurrences"),
         )
-        .where(found(F.transform("spans", lambda s: s["all_at"]), F.col("run")))
     )
-    return slots_checked(keyed, benchmark, stage(candidates, "candidates"), item_col, item_text_col).select(
+    return slots_checked(keyed, benchmark, stage(candidates, "occurrences"), item_col, item_text_col).select(
         F.col("id").alias(id_col), "text_key", "item_id", "coverage", "run", "kind"
     )
 
 
+def span() -> Column:
+    return F.struct("diagonal", "all_at", "literal_at")
+
+
 def share(places: Column) -> Column:
     """Share of an item's words that lists of windows cover."""
     return covered(F.flatten(places)) / F.col("item_words")
 
 
-def found(places: Column, run: Column) -> Column:
-    return (share(places) >= SIMILAR) | (run >= RUN)
+def longest(places: Column) -> Column:
+    """The longest run in any of several lists of windows, 0 without a list."""
+    return F.coalesce(F.array_max(F.transform(places, longest_run)), F.lit(0))
+
+
+def found(spans: str) -> Column:
+    """Whether spans hold enough of an item, whatever the placeholders stand for."""
+    at = F.transform(spans, lambda s: s["all_at"])
+    return (share(at) >= SIMILAR) | (longest(at) >= RUN)
 
 
 def slots_checked(keyed: DataFrame, benchmark: DataFrame, candidates: DataFrame, item_col: str, text_col: str) -> DataFrame:
     """Compares what the placeholders stand for, in the few documents that hold an item's template."""
-    theirs = candidates.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), "item_id", "item_words", "spans", "run")
+    theirs = candidates.withColumnsRenamed({"id": "_id", "text_key": "_key"})
     count = candidates.count()
     items = benchmark.select(
         F.col(item_col).alias("_item"),
@@ -188,28 +208,53 @@ def slots_checked(keyed: DataFrame, benchmark: DataFrame, candidates: DataFrame,
 
     rows = (
         keyed.join(
-            lookup(theirs, count, 600), F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+            lookup(theirs, count, 1200), F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
         )
         .join(items, F.col("item_id").eqNullSafe(F.col("_item")))
         .withColumn("plain", split_words(plain(F.col("text"))))
         .withColumn("slots", slots)
-        .withColumn("pairs", F.array_distinct(F.flatten(F.transform("spans", pairs))))
     )
-    values = F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["was"]))))
-    fits = values == F.size("pairs")
-    literal = F.transform("spans", lambda s: s["literal_at"])
+
+    def agree(pairs: Column) -> Column:
+        return F.size(F.array_distinct(F.transform(pairs, lambda p: F.struct(p["kind"], p["was"])))) == F.size(pairs)
+
+    def judged(spans: Column) -> Column:
+        """What the spans amount to, taken in order: those that contradict earlier ones are left out."""
+        places = F.transform(spans, lambda s: s["all_at"])
+        start = F.struct(F.slice(places, 1, 0).alias("at"), F.slice(pairs(F.get(spans, F.lit(0))), 1, 0).alias("pairs"))
+
+        def step(state: Column, s: Column) -> Column:
+            more = F.array_distinct(F.concat(state["pairs"], pairs(s)))
+            taken = F.struct(F.concat(state["at"], F.array(s["all_at"])).alias("at"), more.alias("pairs"))
+            return F.when(agree(more), taken).otherwise(state)
+
+        def result(state: Column) -> Column:
+            own = F.forall(state["pairs"], lambda p: p["was"] == p["now"])
+            return F.array(
+                verdict(F.when(own, 2).otherwise(1), state["at"]),
+                verdict(F.lit(0), F.transform(spans, lambda s: s["literal_at"])),
+            )
+
+        return F.aggregate(spans, start, step, result)
+
+    def verdict(rank: Column, at: Column) -> Column:
+        return F.struct(rank.alias("rank"), share(at).alias("coverage"), longest(at).alias("run"))
+
+    def ordered(spans: Column, first: Column) -> Column:
+        """The diagonal that an occurrence is seen from, then those of most windows first."""
+        keyed = lambda s: F.struct((s["diagonal"] != first).alias("other"), (-F.size(s["all_at"])).alias("size"), s.alias("s"))
+        return F.transform(F.array_sort(F.transform(spans, keyed)), lambda k: k["s"])
+
+    pooled = F.array(ordered(F.col("spans"), F.lit(-1 << 31)))
+    close = lambda d: F.filter("spans", lambda s: F.abs(s["diagonal"] - d) <= NEIGHBOUR)
+    each = F.transform("occurrences", lambda d: ordered(close(d), d))
+    verdicts = F.flatten(F.transform(F.concat(each, pooled), judged))
+    sound = F.filter(verdicts, lambda v: (v["coverage"] >= SIMILAR) | (v["run"] >= RUN))
     return (
-        rows.withColumn("fits", fits)
-        .withColumn("at", F.when(F.col("fits"), F.transform("spans", lambda s: s["all_at"])).otherwise(literal))
-        .withColumn("coverage", share(F.col("at")))
-        .withColumn("run", F.array_max(F.transform("at", longest_run)))
-        .where((F.col("coverage") >= SIMILAR) | (F.col("run") >= RUN))
-        .withColumn(
-            "kind",
-            F.when(F.forall("pairs", lambda p: p["was"] == p["now"]), "exact")
-            .when(F.col("fits"), "changed")
-            .otherwise("literal"),
-        )
+        rows.withColumn("best", F.array_max(sound))
+        .where("best IS NOT NULL")
+        .withColumn("kind", F.element_at(F.array(*map(F.lit, ("literal", "changed", "exact"))), F.col("best.rank") + 1))
+        .select("*", "best.coverage", "best.run")
     )
 
 
