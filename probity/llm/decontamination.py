@@ -1,7 +1,7 @@
 """Benchmark items in documents, also with other numbers, names and units.
 
 Both sides are brought to templates: numbers, names and units become typed placeholders.
-Windows of template words are joined by hash; matches are gathered by item and diagonal;
+Windows of template words, and of the words as they stand, are joined by hash; matches are gathered by item and diagonal;
 neighbouring diagonals form an occurrence; and a diagonal whose placeholders do not stand for
 the same values as the rest of the occurrence does not count there.
 """
@@ -62,17 +62,26 @@ def plain(text: Column) -> Column:
 
 
 def windows(rows: DataFrame, text_col: str) -> DataFrame:
-    """A row per window of template words: the other columns, ``n_words``, ``pos``, and ``w``."""
+    """A row per word: the other columns, ``n_words``, ``pos``, and the words from it on.
+
+    ``w.t`` has them as template words and ``w.p`` as they stand, null behind the last one.
+    """
     kept = [c for c in rows.columns if c != text_col]
+    both = F.arrays_zip(rolling("_words", WINDOW).alias("t"), rolling("_plain", WINDOW).alias("p"))
     return (
         rows.withColumn("_words", split_words(template(F.col(text_col))))
-        .select(*kept, F.size("_words").alias("n_words"), F.posexplode(rolling("_words", WINDOW)).alias("pos", "w"))
-        .where(F.col(f"w.w{WINDOW - 1}").isNotNull())
+        .withColumn("_plain", split_words(plain(F.col(text_col))))
+        .select(*kept, F.size("_words").alias("n_words"), F.posexplode(both).alias("pos", "w"))
     )
 
 
-def window_hash() -> Column:
-    return F.xxhash64(*(f"w.w{j}" for j in range(WINDOW)))
+def window_hash(words: str) -> Column:
+    return F.xxhash64(*(f"w.{words}.w{j}" for j in range(WINDOW)))
+
+
+def short_hash(width: int) -> Column:
+    """The hash of fewer words than a window has, as they stand."""
+    return F.xxhash64(F.lit(width), *(f"w.p.w{j}" for j in range(width)))
 
 
 def is_slot(word: Column) -> Column:
@@ -81,23 +90,37 @@ def is_slot(word: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Windows of the benchmark with enough words that are not placeholders."""
-    slots = sum(is_slot(F.col(f"w.w{j}")).cast("int") for j in range(WINDOW))
+    """Windows of the benchmark as they stand, and as templates if enough words are no placeholders.
+
+    An item shorter than a window is one window of its own ``width``. ``slot`` is whether a
+    match may stand for other values than the item's.
+    """
+    slots = sum(is_slot(F.col(f"w.t.w{j}")).cast("int") for j in range(WINDOW))
     named = benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text"))
+    rows = windows(named, "text").withColumn("width", F.least("n_words", F.lit(WINDOW)))
+    short = F.coalesce(*(F.when(F.col("width") == k, short_hash(k)) for k in range(1, WINDOW)))
+    fixed = F.struct(F.coalesce(short, window_hash("p")).alias("hash"), F.lit(False).alias("slot"))
+    free = F.struct(window_hash("t").alias("hash"), (slots > 0).alias("slot"))
     return (
-        windows(named, "text")
-        .where(slots <= WINDOW - LITERAL)
+        rows.where(F.col("pos") + F.col("width") <= F.col("n_words"))
+        .withColumn("ways", F.when(slots <= WINDOW - LITERAL, F.array(fixed, free)).otherwise(F.array(fixed)))
         .select(
-            "item_id",
-            F.col("n_words").alias("item_words"),
-            F.col("pos").alias("item_pos"),
-            window_hash().alias("hash"),
-            (slots > 0).alias("slot"),
+            "item_id", F.col("n_words").alias("item_words"), F.col("pos").alias("item_pos"), "width", F.inline("ways")
         )
         .distinct()
     )
 
 
+def text_hashes(widths: list[int]) -> Column:
+    """What a word of a document is looked up by: its windows, and those of fewer words if wanted."""
+    full, as_template, as_is = F.col(f"w.t.w{WINDOW - 1}").isNotNull(), window_hash("t"), window_hash("p")
+    found = F.when(full & (as_template != as_is), F.array(as_template, as_is)).when(full, F.array(as_is))
+    if not widths:
+        return found
+    short = F.array(*(F.when(F.col(f"w.p.w{k - 1}").isNotNull(), short_hash(k)) for k in widths))
+    return F.concat(F.coalesce(found, F.array().cast("array<long>")), F.filter(short, lambda h: h.isNotNull()))
+
+
 def longest_run(places: Column) -> Column:
     """Words that the longest row of consecutive windows covers; ``places`` is sorted."""
     start = F.struct(F.lit(-9).alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))
@@ -107,12 +130,18 @@ def longest_run(places: Column) -> Column:
         return F.struct(p.alias("last"), run.alias("run"), F.greatest(run, state["best"]).alias("best"))
 
     best = F.aggregate(places, start, step)["best"]
-    return F.when(best > 0, best + (WINDOW - 1)).otherwise(0)
+    return F.when(best > 0, F.least(best + (WINDOW - 1), F.col("item_words"))).otherwise(0)
+
+
+def words_at(places: Column) -> Column:
+    """The places of the words that a list of windows covers."""
+    last = F.col("item_words") - 1
+    return F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(p, F.least(p + (WINDOW - 1), last)))))
 
 
 def covered(places: Column) -> Column:
     """How many different words a list of windows covers."""
-    return F.size(F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(p, p + (WINDOW - 1))))))
+    return F.size(words_at(places))
 
 
 def contaminated(
@@ -129,16 +158,17 @@ def contaminated(
     diagonals of the document together; the best one is reported. ``kind`` is ``exact`` if all
     placeholders stand for the item's own values, ``changed`` if each value of the item was
     replaced by one other value throughout, and ``literal`` if the replacements contradict
-    each other and only windows without placeholders were counted.
-    Null and empty texts hold nothing; items of fewer than five words cannot be found; rows
-    that repeat an id are judged one by one, equal items are all named. Empty tables give an
-    empty result; other columns are ignored.
+    each other and only windows that stand word for word were counted. Case does not count.
+    Null and empty texts hold nothing; items of fewer than five words are found word for word
+    only; rows that repeat an id are judged one by one, equal items are all named. Empty
+    tables give an empty result; other columns are ignored.
     """
     items = stage(item_windows(benchmark, item_col, item_text_col), "benchmark-windows")
     keyed = docs.select(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")
     )
-    rows = windows(keyed, "text").select("id", "text_key", "pos", window_hash().alias("hash"))
+    widths = [r.width for r in items.where(F.col("width") < WINDOW).select("width").distinct().collect()]
+    rows = windows(keyed, "text").select("id", "text_key", "pos", F.explode(text_hashes(sorted(widths))).alias("hash"))
     matches = (
         rows.join(lookup(items, items.count(), 64), "hash")
         .groupBy("id", "text_key", "item_id", "item_words", (F.col("pos") - F.col("item_pos")).alias("diagonal"))
@@ -196,7 +226,7 @@ def slots_checked(keyed: DataFrame, benchmark: DataFrame, candidates: DataFrame,
     slots = F.filter(F.sequence(F.lit(0), F.size("item_template") - 1), lambda i: is_slot(F.get("item_template", i)))
 
     def pairs(span: Column) -> Column:
-        at = F.flatten(F.transform(span["all_at"], lambda p: F.sequence(p, p + (WINDOW - 1))))
+        at = words_at(span["all_at"])
         return F.transform(
             F.filter("slots", lambda i: F.array_contains(at, i)),
             lambda i: F.struct(
