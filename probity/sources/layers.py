@@ -30,6 +30,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def matches(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a pattern with wildcards fits, in any store."""
+    files, jvm_path = _path(spark, pattern)
+    return sorted(status.getPath().toString() for status in files.globStatus(jvm_path) or ())
+
+
 def read_layer(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Parquet scan; with a schema, a missing path gives an empty table of that schema."""
     try:
@@ -139,14 +145,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(enough) if df.rdd.getNumPartitions() < enough else df
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: Iterable[str] = ()) -> DataFrame:
     """Writes an intermediate once and reads it back.
 
     The written table cuts the lineage, outlives lost executors, and tells the planner
     its true size, so that later joins broadcast it only if it is small.
     """
     path = work_path(df.sparkSession, name)
-    df.write.option("compression", COMPRESSION).parquet(path)
+    df.write.option("compression", COMPRESSION).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
