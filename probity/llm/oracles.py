@@ -141,5 +141,53 @@ WITH marked AS (
     FROM pages)
 SELECT page_id, CASE mark WHEN '07' THEN 'changed' WHEN 'a7' THEN 'missing' ELSE 'extra' END AS kind, length
 FROM marked WHERE mark IN ('07', 'a7', 'f3')
+""",
+    "op11_line_dedup": rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+    SELECT rid, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+    FROM docs),
+keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key
+    FROM lines),
+frequent AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT rid) >= 10)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines,
+       count(*) FILTER (f.key IS NOT NULL) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (f.key IS NULL), '')) AS kept_sha256
+FROM docs JOIN keyed USING (rid) LEFT JOIN frequent f USING (key) GROUP BY rid
+""",
+    "op12_collocations": rf"""
+WITH docs AS (
+    SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS text FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+listed AS (SELECT row_number() OVER () AS pid, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM listed GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(len(w))) AS pos FROM listed),
+grams AS (
+    SELECT lang, size, array_to_string(w[pos + 1:pos + size], ' ') AS phrase, count(*) AS f
+    FROM starts, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE pos + size <= len(w)
+    GROUP BY ALL HAVING count(*) >= 30),
+candidates AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE size > 1),
+cuts AS (
+    SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a) // (l.f::HUGEINT + r.f) AS score
+    FROM cuts c JOIN grams l ON c.lang = l.lang AND c.head = l.phrase JOIN grams r ON c.lang = r.lang AND c.rest = r.phrase),
+best AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ones AS (
+    SELECT lang, array_to_string(w[i + 1:i + width], ' ') AS phrase, max(a) AS longer
+    FROM (SELECT *, unnest(range(size - width + 1)) AS i
+          FROM candidates, (SELECT unnest([2, 3]) AS width) WHERE width < size)
+    GROUP BY ALL),
+kept AS (
+    SELECT b.* FROM best b LEFT JOIN inner_ones USING (lang, phrase)
+    WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a),
+ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+           CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+    FROM kept JOIN totals USING (lang))
+SELECT * FROM ranked WHERE rank <= 2000
 """,
 }

@@ -9,7 +9,21 @@ from pyspark.sql import functions as F
 
 from probity.sources.layers import work_path
 
-from . import decontamination, exact_dedup, language, licenses, mixing, repeats, simhash, tokens, urls, warc
+from . import (
+    alignment,
+    decontamination,
+    exact_dedup,
+    language,
+    licenses,
+    line_dedup,
+    mixing,
+    phrases,
+    repeats,
+    simhash,
+    tokens,
+    urls,
+    warc,
+)
 from .oracles import SQL
 
 RULES = [
@@ -23,12 +37,14 @@ RULES = [
 
 #: The tokenizer of the token queries, by the name that the public collection knows it by.
 TOKENIZER, VOCABULARY, END = "byte_bpe_50k.json", 50_257, 2
+#: The other tokenizer that it is aligned with.
+PIECES = "piece_bpe_32k.model"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path(TOKENIZER))
+    return str(public_tokenizers.path(name))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -106,6 +122,21 @@ def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encoded(table(spark, folder, "documents"), tokenizer_path(), VOCABULARY, END)
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line that ten documents share goes, in all of them."""
+    found = line_dedup.deduplicated_lines(table(spark, folder, "documents"), min_docs=10, least=1)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2,000 phrases of each language that occur 30 times or more."""
+    return phrases.collocations(table(spark, folder, "documents"), min_count=30, first=2000)
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignments(table(spark, folder, "documents"), tokenizer_path(), tokenizer_path(PIECES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -119,6 +150,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mix,
         op9_warc_fixity,
         op10_token_ids,
+        op11_line_dedup,
+        op12_collocations,
+        op13_token_alignment,
     )
 }
 ORACLES: dict[str, str] = {name: sql for name, sql in SQL.items() if name in QUERIES}
