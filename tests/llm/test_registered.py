@@ -6,7 +6,8 @@ import re
 
 import duckdb
 import pytest
-from test_python import brute_components, brute_fingerprint, brute_tokens
+from test_overlap import brute_kept
+from test_python import brute_tokens
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -34,7 +35,7 @@ def test_query(spark, folder, db, name):
 def test_all_are_registered():
     named = contract.queries()
     assert {n for n in named if re.match(r"op\d+_", n)} == set(queries.QUERIES)
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
     assert named["pipeline"] is corpus_pipeline.run
 
 
@@ -57,9 +58,7 @@ def test_pipeline_stage_by_stage(spark, folder, tmp_path):
     assert ids == {i for i, r in rows.items() if re.search(r"[^\W\d_]", r.text or "")}
 
     single = keep("simhash_near_dedup", named)
-    order = sorted(ids)
-    fps = [brute_fingerprint(rows[i].text) for i in order]
-    want = set(brute_components(order, fps))
+    want = set(brute_kept([(i, rows[i].text) for i in sorted(ids)]))
     assert sorted(r.doc_id for r in single.collect()) == sorted(want)
 
     clean = keep("benchmark_decontamination", single)
