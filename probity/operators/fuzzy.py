@@ -56,36 +56,64 @@ def best_matches(
     above 0 will do; the lower it is the less the bounds hold off, until all that have a
     character in common are scored.
     """
-    if not 0 < threshold <= 1:
-        raise ValueError("the threshold must lie above 0 and not above 1")
     long_enough = names.select("name").where(F.length("name") >= MIN_QUERY_LENGTH).distinct()
-    names = stage(_signatures(long_enough), "names")
+    names = stage(_signatures(_checked(long_enough, threshold)), "names")
     choices = stage(_signatures(choices.select("name").where(F.length("name") > 0).distinct()), "choices")
     same = names.join(choices.select("name"), "name").select(
         "name", F.col("name").alias("match"), F.lit(1.0).alias("score")
     )
     rest = names.join(choices.select("name"), "name", "left_anti")
+    scored = _scored(rest, names, choices, threshold, broadcast_names, cell_rows)
+    best = (
+        scored.groupBy("name")
+        .agg(F.min(F.struct((-F.col("score")).alias("s"), "match")).alias("best"))
+        .select("name", F.col("best.match").alias("match"), (-F.col("best.s")).alias("score"))
+    )
+    return same.unionByName(best)
+
+
+def similar_pairs(
+    names: DataFrame,
+    threshold: float = 0.92,
+    broadcast_names: int = BROADCAST_NAMES,
+    cell_rows: int = CELL_ROWS,
+) -> DataFrame:
+    """``name, match, score`` of all pairs of different names that are so similar, each once, the smaller name first.
 
+    Names shorter than three characters, and null, are in no pair.
+    """
+    names = names.select("name").where(F.length("name") >= MIN_QUERY_LENGTH).distinct()
+    names = stage(_signatures(_checked(names, threshold)), "names")
+    scored = _scored(names, names, names, threshold, broadcast_names, cell_rows)
+    # the measure may see two names differently from either side, by the order of what it matches
+    both = scored.select(F.least("name", "match").alias("name"), F.greatest("name", "match").alias("match"), "score")
+    return both.where("name < match").groupBy("name", "match").agg(F.max("score").alias("score"))
+
+
+def _checked(names: DataFrame, threshold: float) -> DataFrame:
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold must lie above 0 and not above 1")
+    return names
+
+
+def _scored(
+    asked: DataFrame, names: DataFrame, choices: DataFrame, threshold: float, broadcast_names: int, cell_rows: int
+) -> DataFrame:
+    """``name, match, score`` of all pairs that reach the threshold; ``asked`` are some of ``names``."""
     n_names, longest_name, _ = _size(names)
     n_choices, longest_choice, choice_bytes = _size(choices)
     bands = _length_bands(max(longest_name, longest_choice))
     # names are light and comparing them is not, so they are spread by work and not by bytes
     cores = names.sparkSession.sparkContext.defaultParallelism
     tasks = min(max(cores, n_names * n_choices // PAIRS_PER_TASK), MAX_TASKS)
-    rest = rest.repartition(min(tasks, max(n_names, 1)), "name")
+    asked = asked.repartition(min(tasks, max(n_names, 1)), "name")
     if n_choices <= broadcast_names and choice_bytes <= BROADCAST_BYTES:
-        pairs = _pairs_by_length(rest, choices, threshold, bands)
+        pairs = _pairs_by_length(asked, choices, threshold, bands)
     else:
         choices = choices.repartition(min(tasks, max(n_choices, 1)), "name")
-        pairs = _pairs_by_token(rest, choices, threshold, bands, cell_rows, tasks)
+        pairs = _pairs_by_token(asked, choices, threshold, bands, cell_rows, tasks)
     scored = pairs.select("name", "match", jaro_winkler("name", "match").alias("score"))
-    best = (
-        scored.where(F.col("score") >= threshold)
-        .groupBy("name")
-        .agg(F.min(F.struct((-F.col("score")).alias("s"), "match")).alias("best"))
-        .select("name", F.col("best.match").alias("match"), (-F.col("best.s")).alias("score"))
-    )
-    return same.unionByName(best)
+    return scored.where(F.col("score") >= threshold)
 
 
 def _size(names: DataFrame) -> tuple[int, int, int]:
