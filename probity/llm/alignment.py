@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from itertools import chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -26,7 +27,7 @@ from .common import lookup
 ship_by_value(__name__)
 
 #: Pieces of text that a worker remembers, and characters that it aligns in one go.
-REMEMBERED, SLICE_CHARS = 150_000, 2_000_000
+REMEMBERED, SLICE_CHARS = 300_000, 2_000_000
 #: Ends that gallop side by side; each block begins where the one before has ended.
 BLOCK = 4096
 
@@ -34,32 +35,42 @@ BLOCK = 4096
 def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
     """Per element of an ascending list its least place in a longer one whose element is not below it.
 
-    A block of elements gallops at once: every one starts from the place that its block begins at.
+    A block of elements gallops at once, each from where its rank in the block lets it be expected,
+    up or down as what stands there is below it or not.
     """
     out = np.empty(len(short), np.int64)
-    base = 0
+    if not len(long):
+        out[:] = 0
+        return out
+    ahead = (np.arange(BLOCK) * (len(long) / max(1, len(short)))).astype(np.int64)
+    base, last = 0, len(long) - 1
     for k in range(0, len(short), BLOCK):
         part = short[k : k + BLOCK]
-        # an element lies further on the further it stands in its block, unless the longer list is sparse here
-        low = base + np.arange(len(part))
-        far = low >= len(long)
-        far[~far] = long[low[~far]] > part[~far]
-        low[far] = base
-        step = np.ones(len(part), np.int64)
-        high = low.copy()
-        going = np.nonzero(high < len(long))[0]
-        going = going[long[high[going]] < part[going]]
-        while len(going):
-            low[going] = high[going] + 1
-            high[going] = np.minimum(high[going] + step[going], len(long))
-            step[going] *= 2
-            going = going[high[going] < len(long)]
-            going = going[long[high[going]] < part[going]]
-        while len(going := np.nonzero(low < high)[0]):
-            middle = (low[going] + high[going]) >> 1
-            below = long[middle] < part[going]
-            low[going[below]] = middle[below] + 1
-            high[going[~below]] = middle[~below]
+        start = np.minimum(base + ahead[: len(part)], last)
+        rising = long[start] < part
+        # what is below ``low`` is too small, what is from ``high`` on is not
+        low, high = np.where(rising, start + 1, 0), np.where(rising, len(long), start)
+        step = 1
+        up, down = np.flatnonzero(rising), np.flatnonzero(~rising)
+        while len(up) or len(down):
+            probe = start[up] + step
+            up, probe = up[probe <= last], probe[probe <= last]
+            below = long[probe] < part[up]
+            low[up[below]] = probe[below] + 1
+            high[up[~below]] = probe[~below]
+            up = up[below]
+            probe = start[down] - step
+            down, probe = down[probe >= 0], probe[probe >= 0]
+            below = long[probe] < part[down]
+            low[down[below]] = probe[below] + 1
+            high[down[~below]] = probe[~below]
+            down = down[~below]
+            step *= 2
+        while len(open_ := np.flatnonzero(low < high)):
+            middle = (low[open_] + high[open_]) >> 1
+            below = long[middle] < part[open_]
+            low[open_[below]] = middle[below] + 1
+            high[open_[~below]] = middle[~below]
         out[k : k + BLOCK] = low
         base = int(low[-1])
     return out
@@ -115,12 +126,16 @@ class ByteLevel:
         for token, number in vocabulary.items():
             self.bytes[number] = token.encode() if token in added else bytes(plain[c] for c in token)
 
+        # its own rule cuts before a blank, so the words of a text may be encoded one by one
+        self.by_word = True
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         given = [" " + t for t in texts]
         return [e.ids for e in self._model.encode_batch_fast(given, add_special_tokens=False)]
 
-    #: Whether pieces of a text that are parted by single blanks may be encoded one by one.
-    by_word = True
+    def encode_words(self, words: list[str]) -> list[int]:
+        """All words in one call: they are told apart by the blank that only their first token has."""
+        return self._model.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids
 
 
 class Pieces:
@@ -140,6 +155,9 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self._model.encode(texts, num_threads=1)
 
+    def encode_words(self, words: list[str]) -> list[int]:
+        return list(chain.from_iterable(self.encode(words)))
+
 
 class Numbers(dict):
     def __missing__(self, piece: str) -> int:
@@ -153,6 +171,7 @@ class Side:
     def __init__(self, model):
         self.model = model
         self.size = np.array([len(b) for b in model.bytes], np.int64)
+        self.opens = np.array([b.startswith(b" ") for b in model.bytes])
         self.forget()
 
     def forget(self) -> None:
@@ -162,10 +181,24 @@ class Side:
         """All ids, and where each text's begin and end among them."""
         lists = self.model.encode(texts)
         begin = np.concatenate(([0], np.cumsum([len(x) for x in lists], dtype=np.int64)))
-        return np.fromiter((i for x in lists for i in x), np.int64, int(begin[-1])), begin
-
-    def learn(self, pieces: list[str]) -> None:
-        ids, begin = self.whole(pieces)
+        return np.fromiter(chain.from_iterable(lists), np.int64, int(begin[-1])), begin
+
+    def words(self, words: list[str], joined: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of words, where each word's begin and end, and whether its bytes come back.
+
+        ``joined`` are the bytes of all with the blank before each, ``sizes`` how many each has.
+        """
+        ids = np.array(self.model.encode_words(words), np.int64)
+        first = np.flatnonzero(self.opens[ids]) if len(ids) else ids
+        if len(first) == len(words) and self.bytes_of(ids.tolist()) == joined:
+            begin = np.append(first, len(ids))
+            if (np.add.reduceat(self.size[ids], first) == sizes).all() if len(words) else True:
+                return ids, begin, np.ones(len(words), bool)
+        ids, begin = self.whole(words)  # a word among them does not come back as it went
+        rows = [ids[i:j].tolist() for i, j in zip(begin[:-1], begin[1:])]
+        return ids, begin, np.array([self.bytes_of(r) == (" " + w).encode() for r, w in zip(rows, words)], bool)
+
+    def learn(self, ids: np.ndarray, begin: np.ndarray) -> None:
         self.begin = np.concatenate((self.begin, begin[1:] + len(self.ids)))
         self.ids = np.concatenate((self.ids, ids))
 
@@ -210,17 +243,15 @@ class Aligner:
 
     def _learn(self, pieces: list[str]) -> None:
         """Encodes new pieces; good are those without white space at an end whose bytes come back."""
-        begin = len(self.known) - len(pieces)
-        self.a.learn(pieces)
-        self.b.learn(pieces)
-        good = [
-            bool(p)
-            and not p[0].isspace()
-            and not p[-1].isspace()
-            and self._same(p, self.a.ids[self.a.begin[i] : self.a.begin[i + 1]], self.b.ids[self.b.begin[i] : self.b.begin[i + 1]])
-            for i, p in enumerate(pieces, begin)
-        ]
-        self.good = np.concatenate((self.good, np.array(good, bool)))
+        plain = np.array([p.strip() == p != "" for p in pieces], bool)
+        words = [p if c else "." for p, c in zip(pieces, plain)]  # the others go with their whole text
+        joined = (" " + " ".join(words)).encode()
+        sizes = np.array([len(w.encode()) + 1 for w in words], np.int64)
+        for side in (self.a, self.b):
+            ids, begin, same = side.words(words, joined, sizes)
+            side.learn(ids, begin)
+            plain &= same
+        self.good = np.concatenate((self.good, plain))
 
     def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Per side all ids and where each text begins; texts whose bytes do not come back have none."""
@@ -228,10 +259,10 @@ class Aligner:
             self.forget()
         known, old = self.known, len(self.known)
         split = [t.split(" ") if self.by_word and t else [] for t in texts]
-        codes = np.fromiter((known[p] for s in split for p in s), np.int64, sum(map(len, split)))
-        if len(known) > old:
-            self._learn([p for p, i in zip(reversed(known), range(len(known) - old))][::-1])
         sizes = np.array([len(s) for s in split], np.int64)
+        codes = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        if len(known) > old:
+            self._learn(list(islice(known, old, None)))
         owner = np.repeat(np.arange(len(texts)), sizes)
         clean = np.bincount(owner, ~self.good[codes], len(texts)) == 0
         clean &= sizes > 0
