@@ -3,8 +3,10 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
+from probity.operators import cells as C
 from probity.operators import search as V
-from probity.sources.layers import spread
+from probity.operators import vectors as W
+from probity.sources.layers import spread, work_path
 
 from .registered import Tables, query
 
@@ -170,3 +172,78 @@ def model_search(t: Tables) -> DataFrame:
     vectors = encoder.encode(spread(t.documents.select("doc_id", "text")), "text")
     asked = t.benchmark.agg(F.min("text")).first()[0]
     return V.search(encoder, vectors, asked, key="doc_id").select("doc_id", _rounded())
+
+
+# ---- stored layers ----
+
+ASKED = "SELECT vec_id AS query_id, embedding FROM {embeddings} WHERE vec_id % 20 = 0"
+#: Every twentieth vector against all: scores are rounded before they are ranked, so that ties are ties.
+ALL_SQL = """
+    SELECT query_id, vec_id, round(score, 6) AS score, rank FROM (
+        SELECT q.query_id, e.vec_id, list_inner_product(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS score,
+            row_number() OVER (PARTITION BY q.query_id ORDER BY
+                list_inner_product(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) DESC, e.vec_id) AS rank
+        FROM embeddings e, asked q) s WHERE rank <= 10"""
+
+
+@query(ALL_SQL, asked=ASKED)
+def vector_top_k_all(t: Tables) -> DataFrame:
+    """The ten nearest of every twentieth vector among all, by a full scan."""
+    found = V.top_k_batch(t.embeddings, t.sql(ASKED), k=10, key="vec_id")
+    return found.select("query_id", "vec_id", _rounded(), "rank")
+
+
+@query(ALL_SQL, asked=ASKED)
+def vector_top_k_streamed(t: Tables) -> DataFrame:
+    """The same with the queries streaming past the corpus, which is dealt out once."""
+    found = V.top_k_batch(t.embeddings, t.sql(ASKED), k=10, key="vec_id", block=0, group=300)
+    return found.select("query_id", "vec_id", _rounded(), "rank")
+
+
+@query(ALL_SQL, asked=ASKED)
+def vector_cells(t: Tables) -> DataFrame:
+    """The same from a layer in cells, of which most are ruled out by their bounds."""
+    layer = C.scratch_cells(t.embeddings, "vec_id")
+    found, _ = C.search_cells(t.spark, layer, t.sql(ASKED), k=10, key="vec_id")
+    return found.select("query_id", "vec_id", _rounded(), "rank")
+
+
+# Two states of the corpus: some texts come later, some are changed, some go.
+BEFORE = """
+    SELECT doc_id, CASE WHEN doc_id % 7 = 2 THEN 'older ' || text ELSE text END AS text FROM {documents}
+    WHERE doc_id % 10 <> 3"""
+NOW = "SELECT doc_id, text FROM {documents} WHERE doc_id % 11 <> 5"
+HAS_TEXT = "text IS NOT NULL AND length(regexp_replace(text, '[\\s\\x{A0}]+', '', 'g')) > 0"
+
+
+def _refreshed(t: Tables) -> tuple[str, W.VectorRun]:
+    path = work_path(t.spark, "vectors")
+    W.refresh_vectors(spread(t.sql(BEFORE)), path, _vowel_encoder(), "vowels", key="doc_id", text="text")
+    return path, W.refresh_vectors(spread(t.sql(NOW)), path, _vowel_encoder(), "vowels", key="doc_id", text="text")
+
+
+@query(
+    "SELECT doc_id, " + ", ".join(f"v[{i + 1}] AS {v}" for i, v in enumerate(VOWELS))
+    + f" FROM ({sql_vowel_vector(f'(SELECT * FROM now WHERE {HAS_TEXT})', 'doc_id')}) d",
+    now=NOW,
+)
+def vectors_refreshed(t: Tables) -> DataFrame:
+    """A layer of vectors after a second run holds what a run over the new state alone gives."""
+    run = _refreshed(t)[1]
+    parts = [F.get("embedding", F.lit(i)).cast("double").alias(v) for i, v in enumerate(VOWELS)]
+    return run.vectors.select("doc_id", *parts)
+
+
+@query(
+    f"""SELECT sha256(text) AS text_hash, length(text) AS characters FROM (
+        SELECT DISTINCT text FROM now WHERE {HAS_TEXT} AND text NOT IN (
+            SELECT text FROM before_now WHERE {HAS_TEXT})) d""",
+    before_now=BEFORE,
+    now=NOW,
+)
+def vectors_to_encode(t: Tables) -> DataFrame:
+    """The different texts of the new state that the layer of the old one has no vector for."""
+    path = work_path(t.spark, "vectors")
+    W.refresh_vectors(spread(t.sql(BEFORE)), path, _vowel_encoder(), "vowels", key="doc_id", text="text")
+    fresh = W.unencoded(t.sql(NOW), W.read_vectors(t.spark, path), "text")
+    return fresh.select("text_hash", F.length("text").cast("bigint").alias("characters"))

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from probity import functions as P
-from probity.sources.layers import append_history, stage
+from probity.sources.layers import append_history, empty, read_layer, work_path, write_layer
 
 REASON = "motivo_rechazo"
 MAX_ERROR_RATIO = 0.2
+#: Column that rows are routed by, and so the name of the folders they are written to.
+_ROUTE = "row_is_valid"
 
 # Wording of the rejection reasons.
 BAD_ID_AND_NAME = "dni invalido y nombres nulos"
@@ -80,27 +82,50 @@ def quality_counts(classified: DataFrame) -> DataFrame:
     return counts.withColumn("error_ratio", F.coalesce(F.try_divide("invalid", "total"), F.lit(0.0)))
 
 
+def write_routed(df: DataFrame, path: str, reason: Column | None = None) -> tuple[DataFrame, DataFrame, QualityReport]:
+    """Valid rows, rejected rows with their reason, and how many there are, in one pass over the input.
+
+    Both kinds are written side by side below ``path``, and are counted while they are written;
+    nothing is read again to be counted. The folder ``valid_folder`` names can be moved to where a layer is.
+    """
+    spark = df.sparkSession
+    classified = classify(df, reason).withColumn(_ROUTE, F.col(REASON).isNull())
+    seen = Observation()
+    counts = F.count(F.lit(1)).alias("total"), F.count_if(~F.col(_ROUTE)).alias("invalid")
+    write_layer(classified.observe(seen, *counts), path, partition_by=[_ROUTE, REASON])
+    report = QualityReport(seen.get["total"], seen.get["invalid"])
+    rejects = f"{path}/{_ROUTE}=false"
+    reasons = classify(df, reason).schema
+    rejected = spark.read.schema(reasons).parquet(rejects) if report.invalid else empty(spark, reasons)
+    return read_layer(spark, valid_folder(path), df.schema), rejected, report
+
+
+def valid_folder(path: str) -> str:
+    """Where :func:`write_routed` puts the valid rows, which have no reason; it is not there if there are none."""
+    return f"{path}/{_ROUTE}=true/{REASON}=__HIVE_DEFAULT_PARTITION__"
+
+
 def enforce_quality(
     df: DataFrame,
     reject_path: str,
     reason: Column | None = None,
     max_error_ratio: float = MAX_ERROR_RATIO,
+    path: str | None = None,
 ) -> tuple[DataFrame, QualityReport]:
     """The valid rows; rejects are appended to ``reject_path`` before anything is raised.
 
-    The classified rows are staged, so the input is computed once for the count, the
-    quarantine and whatever follows.
+    Rows are computed, routed, counted and written once, below ``path`` (an intermediate if it is
+    not named); only the rejects are written again, to their history.
     """
-    classified = stage(classify(df, reason), "classified")
-    total, invalid, _ = quality_counts(classified).first()
-    report = QualityReport(total, invalid)
-    if invalid:
-        append_history(rejected_rows(classified), reject_path)
+    path = work_path(df.sparkSession, "routed") if path is None else path
+    valid, rejected, report = write_routed(df, path, reason)
+    if report.invalid:
+        append_history(rejected, reject_path)
         if report.ratio > max_error_ratio:
             raise DataQualityError(
-                f"{invalid} of {total} rows are invalid ({report.ratio:.1%}, allowed {max_error_ratio:.1%})"
+                f"{report.invalid} of {report.total} rows are invalid ({report.ratio:.1%}, allowed {max_error_ratio:.1%})"
             )
-    return valid_rows(classified), report
+    return valid, report
 
 
 def mark_known(

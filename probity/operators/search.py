@@ -152,29 +152,101 @@ def top_k_batch(
     embedding: str = "embedding",
     block: int = QUERIES_PER_BLOCK,
     group: int = CORPUS_ROWS_PER_GROUP,
+    width: int | None = None,
 ) -> DataFrame:
     """``query_key, key, score, rank`` of the k best rows for each of many query vectors.
 
     Up to ``block`` queries (counted first) travel to the tasks, which multiply them with
     each Arrow batch of the corpus and keep k rows per query: a row pair never is a row.
-    More queries are laid out with the corpus on a grid, a block of queries by a group of
-    corpus rows per cell, so neither side is held whole anywhere. Vectors that are null, hold
-    a part that is no number, or are not as wide as the widest query, are left out.
+    More queries are sent to groups of the corpus, which is dealt out once: a task holds one
+    group and lets the queries stream past it. Vectors that are null or hold a part that is no
+    number are left out, and so are those of another ``width`` than the corpus has; it is the
+    most frequent one there, unless it is named.
     """
-    asked = queries.select(query_key, embedding).where(usable(F.col(embedding)))
-    count, width = asked.agg(F.count("*"), F.coalesce(F.max(F.size(embedding)), F.lit(0))).first()
-    asked = asked.where(F.size(embedding) == width)
+    width = corpus_width(vectors, embedding) if width is None else width
+    asked = queries.select(query_key, embedding).where(usable(F.col(embedding), width))
     stored = vectors.select(key, embedding).where(usable(F.col(embedding), width))
     types = {f.name: f.dataType.simpleString() for f in (*asked.schema.fields, *stored.schema.fields)}
     output = f"`{query_key}` {types[query_key]}, `{key}` {types[key]}, score double"
-    if count <= block:
+    if asked.count() <= block:
         found = stored.mapInArrow(_best_per_task(asked.toArrow(), key, query_key, embedding, k), output)
     else:
-        found = _top_k_grid(stored, asked, k, key, query_key, embedding, count, block, group, output)
+        groups = max(1, -(-stored.count() // group))
+        place = F.pmod(F.xxhash64(key), F.lit(groups)).cast("int")
+        everywhere = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+        found = met_in_groups(
+            stored.select(key, embedding, place.alias("_cell"), F.lit(0).alias("_part")),
+            asked.select(query_key, embedding, everywhere.alias("_cell"), F.lit(0).alias("_part")),
+            k, key, query_key, embedding, groups,
+        )
+    return best_per_query(found, k, key, query_key)
+
+
+def corpus_width(vectors: DataFrame, embedding: str = "embedding") -> int:
+    """The most frequent width of the usable vectors, 0 if there is none; of equal ones the smaller."""
+    sizes = vectors.where(usable(F.col(embedding))).groupBy(F.size(embedding).alias("width")).agg(F.count("*").alias("n"))
+    found = sizes.orderBy(F.col("n").desc(), "width").first()
+    return found["width"] if found else 0
+
+
+def best_per_query(found: DataFrame, k: int, key: str, query_key: str) -> DataFrame:
+    """The k best of what the tasks found, with their ``rank``; of equal scores the smaller key."""
     order = Window.partitionBy(query_key).orderBy(F.col("score").desc(), F.col(key))
     return found.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= k)
 
 
+def met_in_groups(
+    stored: DataFrame, asked: DataFrame, k: int, key: str, query_key: str, embedding: str, groups: int
+) -> DataFrame:
+    """``query_key, key, score``: per query and group of the corpus the k best rows of that group.
+
+    Both sides name their groups by ``_cell`` and ``_part``. Each corpus row moves once, whatever
+    the number of queries. Within a task a group's rows come first and are held; the queries
+    that follow are multiplied batch by batch, so no list of queries is ever held whole.
+    """
+    spark = stored.sparkSession
+    kinds = {f.name: f.dataType for f in (*asked.schema.fields, *stored.schema.fields)}
+    single = all(df.schema[embedding].dataType.simpleString() == "array<float>" for df in (stored, asked))
+    vector = F.col(embedding).cast("array<float>" if single else "array<double>")
+    none_of = lambda name: F.lit(None).cast(kinds[name])
+    rows = stored.select(
+        "_cell", "_part", F.lit(0).alias("_kind"), F.col(key).alias("_key"), none_of(query_key).alias("_query"), vector.alias("_v")
+    ).unionAll(
+        asked.select(
+            "_cell", "_part", F.lit(1).alias("_kind"), none_of(key).alias("_key"), F.col(query_key).alias("_query"), vector.alias("_v")
+        )
+    )
+    tasks = max(1, min(groups, 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    rows = rows.repartition(tasks, "_cell", "_part").sortWithinPartitions("_cell", "_part", "_kind")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, keys, vectors, held = None, None, [], None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            place = np.stack([table[c].to_numpy() for c in ("_cell", "_part", "_kind")])
+            cuts = np.flatnonzero(np.any(place[:, 1:] != place[:, :-1], axis=0)) + 1
+            for i, j in zip([0, *cuts], [*cuts, batch.num_rows]):
+                part = table.slice(i, j - i)
+                group = tuple(place[:2, i])
+                if group != here:
+                    here, keys, vectors, held = group, [], [], None
+                if place[2, i] == 0:
+                    keys.append(part["_key"])
+                    vectors.append(_matrix(part["_v"]))
+                    continue
+                if not vectors:
+                    continue
+                if held is None:
+                    chunks = [c for column in keys for c in column.chunks]
+                    held = _keys(pa.chunked_array(chunks)), np.concatenate(vectors), chunks[0].type
+                found = _best_of(_matrix(part["_v"]), held[1], held[0], k)
+                out = _as_table(part, "_query", "_key", held[2], found).rename_columns([query_key, key, "score"])
+                yield from out.combine_chunks().to_batches()
+
+    output = f"`{query_key}` {kinds[query_key].simpleString()}, `{key}` {kinds[key].simpleString()}, score double"
+    return rows.mapInArrow(run, output)
+
+
 def _best_per_task(asked: pa.Table, key: str, query_key: str, embedding: str, k: int):
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries = _matrix(asked[embedding])
@@ -189,28 +261,6 @@ def _best_per_task(asked: pa.Table, key: str, query_key: str, embedding: str, k:
     return best
 
 
-def _top_k_grid(stored, asked, k, key, query_key, embedding, count, block, group, output) -> DataFrame:
-    blocks = -(-count // block)
-    groups = max(1, -(-stored.count() // group))
-
-    def number(column: str, size: int) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(size)).cast("int")
-
-    def every(size: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(size - 1)))
-
-    left = stored.select("*", number(key, groups).alias("_group")).withColumn("_block", every(blocks))
-    right = asked.select("*", number(query_key, blocks).alias("_block")).withColumn("_group", every(groups))
-
-    def cell(corpus_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
-        keys = corpus_rows[key]
-        found = _best_of(_matrix(query_rows[embedding]), _matrix(corpus_rows[embedding]), _keys(keys), k)
-        return _as_table(query_rows, query_key, key, keys.type, found)
-
-    place = ["_block", "_group"]
-    return left.groupBy(*place).cogroup(right.groupBy(*place)).applyInArrow(cell, output)
-
-
 def _best_of(
     queries: np.ndarray, stored: np.ndarray, keys: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray]:

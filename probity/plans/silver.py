@@ -11,9 +11,15 @@ from pyspark.sql.types import ArrayType
 from probity import functions as P
 from probity.operators.audit import log_changes
 from probity.operators.conform import money, rename_fields, unnest
-from probity.operators.quality import MAX_ERROR_RATIO, QualityReport, enforce_quality, silver_reason
+from probity.operators.quality import (
+    MAX_ERROR_RATIO,
+    QualityReport,
+    enforce_quality,
+    silver_reason,
+    valid_folder,
+)
 from probity.schemas import PERSONAL_FIELDS, SILVER
-from probity.sources.layers import path_exists, read_layer, replace_layer, write_layer
+from probity.sources.layers import delete, path_exists, read_layer, replace_layer, write_layer
 
 INCOME_FIELDS = ("decRemuBrutaPublico", "decRemuBrutaPrivado")
 
@@ -100,19 +106,24 @@ def build_silver(
     reject_zero_id: bool = False,
     **options,
 ) -> SilverRun:
-    """Cleans, checks, audits against the last version, then replaces it."""
+    """Cleans, checks, audits against the last version, then replaces it. Silver is written once."""
     spark = resumes.sparkSession
     reason = silver_reason(reject_zero_id=reject_zero_id)
-    valid, report = enforce_quality(to_silver(resumes, **options), reject_path, reason, max_error_ratio)
-    changes = 0
-    if path_exists(spark, silver_path):
-        # one person can be in several categories, so the category belongs to the key
-        changes = log_changes(
-            read_layer(spark, silver_path), valid, audit_path, ["global_id", "source_category"]
-        )
     version = f"{silver_path.rstrip('/')}.new-{uuid4().hex}"
-    write_layer(valid, version)
-    replace_layer(spark, version, silver_path)
+    try:
+        valid, report = enforce_quality(to_silver(resumes, **options), reject_path, reason, max_error_ratio, version)
+        changes = 0
+        if path_exists(spark, silver_path):
+            # one person can be in several categories, so the category belongs to the key
+            changes = log_changes(
+                read_layer(spark, silver_path), valid, audit_path, ["global_id", "source_category"]
+            )
+        new = valid_folder(version)
+        if not path_exists(spark, new):  # no row is valid
+            write_layer(valid, new)
+        replace_layer(spark, new, silver_path)
+    finally:
+        delete(spark, version)
     return SilverRun(read_layer(spark, silver_path), report, changes)
 
 

@@ -68,3 +68,30 @@ def test_rules_and_references(spark):
     known = spark.createDataFrame([("a",), ("a",), (None,)], "p string")
     marked = Q.mark_known(df, "party", known, "p").orderBy("id").collect()
     assert [(r.id, r.is_known) for r in marked] == [(None, True), (1, True), (3, False), (4, False)]
+
+
+def test_rows_are_computed_once_and_routed_side_by_side(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    rows = [("12345678", "a"), ("bad", "b"), (None, None)] * 20
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("nombres", counted("nombres"))
+    path = str(tmp_path / "layer")
+    valid, report = Q.enforce_quality(df, str(tmp_path / "rejected"), max_error_ratio=0.7, path=path)
+    assert (report.total, report.invalid) == (60, 40) and seen.value == 60
+    assert valid.count() == 20 and valid.columns == df.columns
+    assert {p.name for p in (tmp_path / "layer").iterdir() if p.is_dir()} == {"row_is_valid=true", "row_is_valid=false"}
+    rejected = read_history(spark, str(tmp_path / "rejected")).collect()
+    assert sorted({r.motivo_rechazo for r in rejected}) == sorted({Q.BAD_ID, Q.BAD_ID_AND_NAME}) and len(rejected) == 40
+
+
+@pytest.mark.parametrize("rows", [[("12345678", "a")], [("bad", "x")], []])
+def test_one_kind_only(spark, tmp_path, rows):
+    valid, rejected, report = Q.write_routed(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "layer"))
+    assert valid.count() + rejected.count() == report.total == len(rows)
+    assert valid.columns == ["dni", "nombres"] and rejected.columns == ["dni", "nombres", "motivo_rechazo"]
+    assert valid.where("dni = 'bad'").count() == 0 and rejected.count() == report.invalid
