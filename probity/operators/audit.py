@@ -109,13 +109,23 @@ def fingerprint(df: DataFrame) -> DataFrame:
     is taken with two seeds. The exclusive-or alone would cancel equal rows; the sum and the
     count do not.
     """
+    first, second = row_hashes(df)
+    return df.select(first.alias("h"), second.alias("g")).agg(*content_of("h", "g"))
+
+
+def row_hashes(df: DataFrame) -> list[Column]:
+    """Two hashes of a row's content, by the rules of :func:`fingerprint`."""
     parts = [part for c in df.columns for part in _hashed(_comparable(df, c), _type(df, c))]
-    first, second = (F.xxhash64(F.lit(seed), *parts) for seed in SEEDS)
-    return df.select(first.alias("h"), second.alias("g")).agg(
+    return [F.xxhash64(F.lit(seed), *parts) for seed in SEEDS]
+
+
+def content_of(first: str, second: str) -> list[Column]:
+    """Row count and sums of the hashes of some rows; equal for equal rows in any order."""
+    return [
         F.count("*").alias("row_count"),
-        F.coalesce(F.bit_xor("h"), F.lit(0)).alias("hash_xor"),
-        F.coalesce(F.sum(F.col("g").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("hash_sum"),
-    )
+        F.coalesce(F.bit_xor(first), F.lit(0)).alias("hash_xor"),
+        F.coalesce(F.sum(F.col(second).cast("decimal(38,0)")), F.lit(0)).cast("string").alias("hash_sum"),
+    ]
 
 
 def _hashed(value: Column, kind: DataType) -> list[Column]:

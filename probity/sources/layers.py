@@ -110,11 +110,23 @@ def drop_work(spark: SparkSession) -> None:
 
 
 @contextmanager
-def own_work(spark: SparkSession) -> Iterator[None]:
-    """Deletes at its end what was staged inside; results must have been written by then."""
-    run = _RUN.set(f"run-{uuid4().hex}")
+def own_work(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Deletes at its end what was staged inside; results must have been written by then.
+
+    What it gives stages a result outside, among the intermediates of whoever called.
+    """
+    outer = _RUN.get()
+    run = _RUN.set("/".join(part for part in (outer, f"run-{uuid4().hex}") if part))
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        here = _RUN.set(outer)
+        try:
+            return stage(df, name)
+        finally:
+            _RUN.reset(here)
+
     try:
-        yield
+        yield keep
     finally:
         delete(spark, f"{work_folder(spark)}/{_RUN.get()}")
         _RUN.reset(run)
