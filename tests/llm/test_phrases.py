@@ -73,7 +73,7 @@ def test_a_sample_that_proposes_nothing_takes_more_passes(documents, rows, monke
     docs = documents([(i, t, lang) for i, (t, lang) in enumerate(rows)])
     passes = []
     counted = phrases.counted
-    monkeypatch.setattr(phrases, "counted", lambda docs, known, done, sizes: passes.append(sizes) or counted(docs, known, done, sizes))
+    monkeypatch.setattr(phrases, "counted", lambda *a: passes.append(a) or counted(*a))
     monkeypatch.setattr(phrases, "proposed", lambda *a: phrases.Known())
     assert found(phrases.collocations(docs, 10, None)) == brute(rows, 10)
     assert 2 <= len(passes) <= phrases.LONGEST
@@ -86,6 +86,14 @@ def test_a_full_table_of_known_phrases_loses_nothing(documents, rows, monkeypatc
     assert found(phrases.collocations(docs, 10, None)) == brute(rows, 10)
 
 
+@pytest.mark.parametrize("bits", [1 << 7, 1 << 9, 1 << 11])
+def test_phrases_that_a_table_holds_by_chance(documents, rows, monkeypatch, bits):
+    monkeypatch.setattr(phrases, "FILTER_BITS", bits)
+    docs = documents([(i, t, lang) for i, (t, lang) in enumerate(rows)])
+    for every in (2, 40):
+        assert found(phrases.collocations(docs, 8, None, every=every)) == brute(rows, 8)
+
+
 def test_counts_beyond_64_bits_when_multiplied(spark, monkeypatch):
     big = 9_000_000_000_000_000
     table = [("en", 0, "", 3 * big), ("en", 1, "a", big + 7), ("en", 1, "b", big + 9), ("en", 2, "a b", big), ("en", 3, "a b c", big // 5)]
