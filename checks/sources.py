@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from probity import functions as P
+from probity.operators.quality import BAD_ID, BAD_ID_AND_NAME, BAD_NAME, REASON
+from probity.plans import arrivals
 from probity.plans.silver import to_silver
 from probity.sources.delimited import read_delimited
 from probity.sources.layers import delete, export_csv, materialize, move_file, read_layer, work_path, write_layer
@@ -323,6 +325,32 @@ def resume_files_to_silver(t: Tables) -> DataFrame:
     return to_silver(read).select(*SILVER_COLUMNS)
 
 
+@query(
+    f"""SELECT *, CASE WHEN NOT good_id AND NOT good_name THEN '{BAD_ID_AND_NAME}' WHEN NOT good_id THEN '{BAD_ID}'
+        WHEN NOT good_name THEN '{BAD_NAME}' END AS motivo_rechazo
+    FROM (SELECT *, regexp_full_match(dni, '[0-9]{{8}}') AS good_id, length(nombres) > 0 AS good_name
+        FROM ({SILVER_SQL}) s) r"""
+)
+def arrived_resumes(t: Tables) -> DataFrame:
+    """Résumé files that come in two drops, taken in by three runs; each row once, valid and rejected apart."""
+    to = arrivals.Arrivals(work_path(t.spark, "arrived"), work_path(t.spark, "arrivals"))
+    root = work_path(t.spark, "raw-resumes")
+    resumes = _resumes(t)
+    for drop, category in enumerate(("senadores", "diputados")):
+        resumes.where(F.col("doc_id") % 2 == drop).drop("doc_id").write.json(f"{root}/{category}/drop")
+        schema = arrivals.take_in(t.spark, root, to, one_record_per_file=False)
+    arrivals.take_in(t.spark, root, to, one_record_per_file=False)
+    valid = arrivals.valid_arrivals(t.spark, to, schema).withColumn(REASON, F.lit(None).cast("string"))
+    rows = valid.unionByName(arrivals.rejected_arrivals(t.spark, to, schema))
+    good = F.col(REASON).isNull()
+    return rows.select(
+        *SILVER_COLUMNS,
+        (good | (F.col(REASON) == BAD_NAME)).alias("good_id"),
+        (good | (F.col(REASON) == BAD_ID)).alias("good_name"),
+        REASON,
+    )
+
+
 @query(SILVER_SQL)
 def resumes_to_silver(t: Tables) -> DataFrame:
     category = F.when(F.col("doc_id") % 2 == 0, F.lit("senadores")).otherwise(F.lit("diputados"))

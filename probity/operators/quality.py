@@ -82,22 +82,36 @@ def quality_counts(classified: DataFrame) -> DataFrame:
     return counts.withColumn("error_ratio", F.coalesce(F.try_divide("invalid", "total"), F.lit(0.0)))
 
 
-def write_routed(df: DataFrame, path: str, reason: Column | None = None) -> tuple[DataFrame, DataFrame, QualityReport]:
+def routed(df: DataFrame, reason: Column | None = None, helpers: tuple[str, ...] = ()) -> DataFrame:
+    """The rows with the two columns that they are written by: whether they are valid, and why not.
+
+    ``helpers`` are columns that only the reason needs; they are dropped.
+    """
+    return classify(df, reason).withColumn(_ROUTE, F.col(REASON).isNull()).drop(*helpers)
+
+
+#: What :func:`routed` rows are partitioned by when they are written.
+ROUTES = (_ROUTE, REASON)
+
+
+def write_routed(
+    df: DataFrame, path: str, reason: Column | None = None, helpers: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame, QualityReport]:
     """Valid rows, rejected rows with their reason, and how many there are, in one pass over the input.
 
     Both kinds are written side by side below ``path``, and are counted while they are written;
     nothing is read again to be counted. The folder ``valid_folder`` names can be moved to where a layer is.
     """
     spark = df.sparkSession
-    classified = classify(df, reason).withColumn(_ROUTE, F.col(REASON).isNull())
+    classified = routed(df, reason, helpers)
     seen = Observation()
     counts = F.count(F.lit(1)).alias("total"), F.count_if(~F.col(_ROUTE)).alias("invalid")
-    write_layer(classified.observe(seen, *counts), path, partition_by=[_ROUTE, REASON])
+    write_layer(classified.observe(seen, *counts), path, partition_by=ROUTES)
     report = QualityReport(seen.get["total"], seen.get["invalid"])
     rejects = f"{path}/{_ROUTE}=false"
-    reasons = classify(df, reason).schema
+    reasons = classified.drop(_ROUTE).schema
     rejected = spark.read.schema(reasons).parquet(rejects) if report.invalid else empty(spark, reasons)
-    return read_layer(spark, valid_folder(path), df.schema), rejected, report
+    return read_layer(spark, valid_folder(path), classified.drop(*ROUTES).schema), rejected, report
 
 
 def valid_folder(path: str) -> str:
@@ -111,6 +125,7 @@ def enforce_quality(
     reason: Column | None = None,
     max_error_ratio: float = MAX_ERROR_RATIO,
     path: str | None = None,
+    helpers: tuple[str, ...] = (),
 ) -> tuple[DataFrame, QualityReport]:
     """The valid rows; rejects are appended to ``reject_path`` before anything is raised.
 
@@ -118,7 +133,7 @@ def enforce_quality(
     not named); only the rejects are written again, to their history.
     """
     path = work_path(df.sparkSession, "routed") if path is None else path
-    valid, rejected, report = write_routed(df, path, reason)
+    valid, rejected, report = write_routed(df, path, reason, helpers)
     if report.invalid:
         append_history(rejected, reject_path)
         if report.ratio > max_error_ratio:

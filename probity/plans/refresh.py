@@ -45,7 +45,7 @@ def _refresh(spark, folders, categories, one_record_per_file, **silver_options)
     resumes = read_resumes(spark, folders.resumes, categories, one_record_per_file=one_record_per_file)
     registry = load_registry(spark, folders.registry, folders.staging)
     silver = build_silver(
-        resumes.drop("_corrupt_record"), folders.silver, folders.rejected, folders.audit, **silver_options
+        resumes, folders.silver, folders.rejected, folders.audit, **silver_options
     )
     plans = None
     if folders.plans and path_exists(spark, folders.plans):

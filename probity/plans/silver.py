@@ -19,8 +19,11 @@ from probity.operators.quality import (
     valid_folder,
 )
 from probity.schemas import PERSONAL_FIELDS, SILVER
+from probity.sources.resumes import CORRUPT
 from probity.sources.layers import delete, path_exists, read_layer, replace_layer, write_layer
 
+#: Fixed value: wording of the reason of files that are no JSON.
+UNREADABLE = "archivo ilegible"
 INCOME_FIELDS = ("decRemuBrutaPublico", "decRemuBrutaPrivado")
 
 
@@ -90,6 +93,14 @@ def to_silver(resumes: DataFrame, **options) -> DataFrame:
     return df.select(*SILVER.names, *[c for c in df.columns if c not in SILVER.names])
 
 
+def reject_reason(rows: DataFrame, reject_zero_id: bool = False) -> Column:
+    """Why a row of :func:`to_silver` is rejected: files that are no JSON are told apart from bad fields."""
+    reason = silver_reason(reject_zero_id=reject_zero_id)
+    if CORRUPT not in rows.columns:
+        return reason
+    return F.when(F.col(CORRUPT).isNotNull(), F.lit(UNREADABLE)).otherwise(reason)
+
+
 @dataclass(frozen=True)
 class SilverRun:
     silver: DataFrame
@@ -108,10 +119,12 @@ def build_silver(
 ) -> SilverRun:
     """Cleans, checks, audits against the last version, then replaces it. Silver is written once."""
     spark = resumes.sparkSession
-    reason = silver_reason(reject_zero_id=reject_zero_id)
+    rows = to_silver(resumes, **options)
     version = f"{silver_path.rstrip('/')}.new-{uuid4().hex}"
     try:
-        valid, report = enforce_quality(to_silver(resumes, **options), reject_path, reason, max_error_ratio, version)
+        valid, report = enforce_quality(
+            rows, reject_path, reject_reason(rows, reject_zero_id), max_error_ratio, version, helpers=(CORRUPT,)
+        )
         changes = 0
         if path_exists(spark, silver_path):
             # one person can be in several categories, so the category belongs to the key
@@ -135,4 +148,6 @@ def _extras(df: DataFrame) -> list[Column]:
         extras.append(F.array_distinct(F.array_compact(names)).alias("titularidad"))
     if "idOrganizacionPolitica" in df.columns:
         extras.append(F.col("idOrganizacionPolitica").cast("string").alias("id_organizacion_politica"))
+    if CORRUPT in df.columns:
+        extras.append(F.col(CORRUPT))
     return extras

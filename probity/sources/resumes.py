@@ -30,7 +30,8 @@ _MAIN_FIELDS = {
 SHARED_PART = "info_adicional"
 SHARED_COLUMNS = ("lRenunciaOP", "lTitularidad")
 
-_CORRUPT = "_corrupt_record"
+#: What a record that is no JSON is kept in.
+CORRUPT = "_corrupt_record"
 
 
 def wrapped_schema(parts: Mapping[str, str] = PROFILE_PARTS) -> StructType:
@@ -42,7 +43,7 @@ def wrapped_schema(parts: Mapping[str, str] = PROFILE_PARTS) -> StructType:
             StructField("data", RESUME),
             StructField("base_info", StringType()),
             StructField("consolidated_profile", profile),
-            StructField(_CORRUPT, StringType()),
+            StructField(CORRUPT, StringType()),
         ]
     )
 
@@ -60,29 +61,48 @@ def read_resumes(
     gives an empty table. With ``one_record_per_file=False`` files hold one record per line
     and are split over tasks.
     """
-    schema = wrapped_schema(parts)
-    reader = (
-        spark.read.schema(schema)
-        .option("multiLine", one_record_per_file)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-    )
     folder = root.rstrip("/")
     try:
-        raw = reader.json(folder)
+        raw = _options(spark.read, parts, one_record_per_file).json(folder)
         path = F.col("_metadata.file_path")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        raw = spark.createDataFrame([], schema)
+        raw = spark.createDataFrame([], wrapped_schema(parts))
         path = F.lit("")
+    return flatten_profiles(_tagged(raw, path, folder, categories), parts)
+
+
+def stream_resumes(
+    spark: SparkSession,
+    root: str,
+    categories: tuple[str, ...] = CATEGORIES,
+    parts: Mapping[str, str] = PROFILE_PARTS,
+    one_record_per_file: bool = True,
+    files_per_batch: int = 1_000,
+) -> DataFrame:
+    """The same of files as they arrive below a folder that is there: a stream of flat résumés."""
+    folder = root.rstrip("/")
+    reader = _options(spark.readStream, parts, one_record_per_file).option("maxFilesPerTrigger", files_per_batch)
+    return flatten_profiles(_tagged(reader.json(folder), F.col("_metadata.file_path"), folder, categories), parts)
+
+
+def _options(reader, parts: Mapping[str, str], one_record_per_file: bool):
+    return (
+        reader.schema(wrapped_schema(parts))
+        .option("multiLine", one_record_per_file)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.json")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+    )
+
+
+def _tagged(raw: DataFrame, path: Column, folder: str, categories: tuple[str, ...]) -> DataFrame:
     below = quote(folder.split("://")[-1].lstrip("./"), safe="/-_.~=")
     # the folder right below the root; \\Q..\\E takes the root as plain text
     category = F.regexp_extract(path, rf"\Q{below}\E/+([^/]+)/", 1)
-    tagged = raw.withColumn("source_category", category).where(F.col("source_category").isin(*categories))
-    return flatten_profiles(tagged, parts)
+    return raw.withColumn("source_category", category).where(F.col("source_category").isin(*categories))
 
 
 def flatten_profiles(df: DataFrame, parts: Mapping[str, str] = PROFILE_PARTS) -> DataFrame:
@@ -114,7 +134,7 @@ def flatten_profiles(df: DataFrame, parts: Mapping[str, str] = PROFILE_PARTS) ->
         if field.name in SHARED_COLUMNS:
             flat = F.coalesce(flat, F.col("_more")[field.name])
         columns.append(flat.alias(field.name))
-    return df.select(*columns, "source_category", _CORRUPT)
+    return df.select(*columns, "source_category", CORRUPT)
 
 
 def rename_section(section: str, value: Column) -> Column:
