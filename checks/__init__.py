@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audit, cleaning, identities, linking, quality, reports, risk, search, serving, sources, versions
+from . import audit, cleaning, groups, identities, linking, quality, reports, risk, search, serving, sources, versions
 from .registered import QUERIES, Query
 
 __all__ = ["QUERIES", "Query"]
