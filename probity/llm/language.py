@@ -23,10 +23,11 @@ from .common import slices
 
 ship_by_value(__name__)
 
-#: Rows per language that are learned from, and the most languages: the bounds of the sample.
-SAMPLE_ROWS, LANGUAGES = 1000, 64
+#: Rows per language that are learned from: the bound of the sample.
+SAMPLE_ROWS = 1000
 #: n-grams of these lengths, a word's edges included, are counted in so many buckets.
-ORDERS, BUCKETS = (1, 2, 3, 4), 1 << 15
+#: With more than ``FULL`` languages there are fewer, so that a model does not grow with them.
+ORDERS, BUCKETS, FULL = (1, 2, 3, 4), 1 << 15, 64
 #: What a switch of language costs, in nats of a word's score averaged over the orders.
 SWITCH = 12.0
 #: A script belongs to a language if this share of its letters is written in it.
@@ -56,7 +57,7 @@ WORD = re.compile(r"[^\W\d_]+")
 @dataclass(frozen=True)
 class Model:
     languages: tuple[str, ...]
-    logs: np.ndarray  # (orders, BUCKETS, languages), log share of an n-gram in its order
+    logs: np.ndarray  # (orders, buckets, languages), log share of an n-gram in its order
     prior: np.ndarray
     scripts: np.ndarray  # (scripts, languages), whether a language is written so
 
@@ -79,7 +80,12 @@ def spread_out(vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return points, points == 32
 
 
-def grams(vocabulary: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def buckets_for(languages: int) -> int:
+    """Buckets per order: half as many whenever the languages double beyond ``FULL``, but 256 at least."""
+    return max(256, BUCKETS >> max(0, (max(languages, 1) - 1) // FULL).bit_length())
+
+
+def grams(vocabulary: list[str], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per order the bucket of each n-gram and the word it is of."""
     points, blank = spread_out(vocabulary)
     word = np.cumsum(blank) - 1
@@ -94,7 +100,7 @@ def grams(vocabulary: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         owner = word[:size]
         good = ~blank[:size] if n == 1 else inner[n - 1 : n - 1 + size] == inner[1 : 1 + size]
         good = good & (owner < len(vocabulary))
-        yield (mixed[good] % np.uint64(BUCKETS)).astype(np.int32), owner[good].astype(np.int32)
+        yield (mixed[good] % np.uint64(buckets)).astype(np.int32), owner[good].astype(np.int32)
 
 
 def scripts_of(vocabulary: list[str]) -> np.ndarray:
@@ -112,7 +118,7 @@ def scripts_of(vocabulary: list[str]) -> np.ndarray:
 def word_scores(vocabulary: list[str], model: Model) -> np.ndarray:
     """(words, languages): mean over the orders of the log shares, as far as the script allows."""
     scores = np.zeros((len(vocabulary), len(model.languages)), np.float32)
-    for logs, (bucket, owner) in zip(model.logs, grams(vocabulary)):
+    for logs, (bucket, owner) in zip(model.logs, grams(vocabulary, model.logs.shape[1])):
         for l in range(scores.shape[1]):
             scores[:, l] += np.bincount(owner, logs[bucket, l], len(vocabulary)) / len(ORDERS)
     allowed = model.scripts[scripts_of(vocabulary)]
@@ -186,18 +192,19 @@ def label(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray,
 
 
 def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Model:
-    """Learns from about ``SAMPLE_ROWS`` whole texts of each of the most frequent languages.
+    """Learns from about ``SAMPLE_ROWS`` whole texts of each language.
 
     Rows are counted by language first; then a fixed share of each, chosen by a hash of the
     id, is counted by n-gram bucket in tasks. The driver gets one row per language and bucket
     or script, whatever the input.
     """
     labelled = rows.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    sizes = labelled.groupBy(lang_col).count().orderBy(F.col("count").desc(), lang_col).limit(LANGUAGES).collect()
+    sizes = labelled.groupBy(lang_col).count().collect()
     sizes = sorted((r[0], r[1]) for r in sizes)
     names = tuple(n for n, _ in sizes)
+    buckets = buckets_for(len(names))
     if not names:
-        flat = np.zeros((len(ORDERS), BUCKETS, 1), np.float32)
+        flat = np.zeros((len(ORDERS), buckets, 1), np.float32)
         return Model((UNKNOWN,), flat, np.zeros(1, np.float32), np.zeros((len(SCRIPTS) + 1, 1), bool))
     chosen = F.lit(False)
     for name, size in sizes:
@@ -219,10 +226,10 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
                     continue
                 often = np.bincount(np.concatenate(times), minlength=len(known))
                 size = np.fromiter(map(len, known), np.int64, len(known))
-                have = sums.setdefault(place[lang], np.zeros(BUCKETS * len(ORDERS) + len(SCRIPTS) + 1, np.int64))
-                for k, (bucket, owner) in enumerate(grams(list(known))):
-                    have[k * BUCKETS : (k + 1) * BUCKETS] += np.bincount(bucket, often[owner], BUCKETS).astype(np.int64)
-                have[len(ORDERS) * BUCKETS :] += np.bincount(scripts_of(list(known)), often * size, len(SCRIPTS) + 1).astype(np.int64)
+                have = sums.setdefault(place[lang], np.zeros(buckets * len(ORDERS) + len(SCRIPTS) + 1, np.int64))
+                for k, (bucket, owner) in enumerate(grams(list(known), buckets)):
+                    have[k * buckets : (k + 1) * buckets] += np.bincount(bucket, often[owner], buckets).astype(np.int64)
+                have[len(ORDERS) * buckets :] += np.bincount(scripts_of(list(known)), often * size, len(SCRIPTS) + 1).astype(np.int64)
         for lang, have in sums.items():
             at = np.nonzero(have)[0]
             yield pd.DataFrame({"lang": np.int32(lang), "at": at, "n": have[at]})
@@ -235,11 +242,11 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
         .agg(F.sum("n").alias("n"))
         .toPandas()
     )
-    counts = np.zeros((BUCKETS * len(ORDERS) + len(SCRIPTS) + 1, len(names)))
+    counts = np.zeros((buckets * len(ORDERS) + len(SCRIPTS) + 1, len(names)))
     counts[counted["at"], counted["lang"]] = counted["n"]
-    by_order = counts[: BUCKETS * len(ORDERS)].reshape(len(ORDERS), BUCKETS, len(names)) + 0.5
+    by_order = counts[: buckets * len(ORDERS)].reshape(len(ORDERS), buckets, len(names)) + 0.5
     logs = np.log(by_order / by_order.sum(1, keepdims=True))
-    scripts = counts[BUCKETS * len(ORDERS) :]
+    scripts = counts[buckets * len(ORDERS) :]
     share = scripts / np.maximum(scripts.sum(0), 1)
     weight = np.array([s for _, s in sizes], float)
     return Model(names, logs.astype(np.float32), np.log(weight / weight.sum()).astype(np.float32), share >= SCRIPT_SHARE)

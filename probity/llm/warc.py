@@ -73,17 +73,34 @@ def write_records(rows: DataFrame, path: str, order: str) -> None:
     )
 
 
+#: How a gzip member begins (a fixed value), and bytes that are unpacked in one go.
+GZIP, PIECE = b"\x1f\x8b\x08", 1 << 14
+
+
 def inflate(content: bytes) -> bytes:
-    """What a gzip file holds, as far as it can be read."""
-    out = b""
-    while content:
-        stream = zlib.decompressobj(31)
-        try:
-            out += stream.decompress(content) + stream.flush()
-        except zlib.error:
-            return out
-        content = stream.unused_data
-    return out
+    """What a gzip file holds, as far as it can be read.
+
+    It is unpacked piece by piece: what came before damaged bytes is kept, up to the last byte that
+    still gave something, and reading goes on at the next beginning of a gzip member.
+    """
+    out, at = [], 0
+    while 0 <= at < len(content):
+        stream, damaged = zlib.decompressobj(31), False
+        while at < len(content) and not stream.eof and not damaged:
+            piece = content[at : at + PIECE]
+            before = stream.copy()
+            try:
+                out.append(stream.decompress(piece))
+                at += len(piece) - len(stream.unused_data)
+            except zlib.error:
+                damaged = True
+                for k in range(len(piece)):
+                    try:
+                        out.append(before.decompress(piece[k : k + 1]))
+                    except zlib.error:
+                        break
+                at = content.find(GZIP, at + max(k, 1))
+    return b"".join(out)
 
 
 def parse(data: bytes) -> Iterator[tuple[int, bytes]]:

@@ -54,6 +54,16 @@ def test_language_of_hard_rows(documents, model):
     assert language.identify(documents([]), model).count() == 0
 
 
+def test_all_labels_are_learned(documents):
+    """More languages than a full model has buckets for: none is left out, and buckets shrink instead."""
+    rows = [(i * 10 + k, " ".join([f"{chr(97 + i % 26)}{chr(97 + i // 26)}x"] * 9), f"l{i:03}") for i in range(150) for k in range(3)]
+    model = language.train(documents(rows))
+    assert len(model.languages) == 150 and model.logs.shape[1] == language.BUCKETS >> 2
+    got = {r.doc_id: r.lang_pred for r in language.identify(documents(rows), model).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows) >= 0.95 * len(rows)
+    assert language.buckets_for(64) == language.BUCKETS and language.buckets_for(65) == language.BUCKETS // 2
+
+
 def test_no_labels_at_all(documents):
     docs = documents([(1, "some words"), (2, None)])
     empty = language.train(docs.where("false"))
@@ -297,6 +307,39 @@ def test_audit_of_broken_files(spark, tmp_path):
     assert {r.kind for r in warc.audit(read("a"), empty).collect()} == {"missing"}
 
 
+@pytest.mark.parametrize("place", ["check", 0.9, 0.5])
+def test_damaged_bytes_cost_what_follows_only(spark, tmp_path, place):
+    """One flipped bit: in the checksum it costs nothing, in the data not the records before it."""
+    rows = [(i, f"u{i}", hashlib.sha256(str(i).encode()).hexdigest() * 30) for i in range(400)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archive(df, str(tmp_path / "a"))
+    source = next(Path(tmp_path / "a").rglob("*.gz"))
+    data = bytearray(source.read_bytes())
+    data[-6 if place == "check" else int(len(data) * place)] ^= 4
+    target = tmp_path / "b" / source.parent.name
+    target.mkdir(parents=True)
+    (target / "x.txt.gz").write_bytes(bytes(data))
+    records = warc.read_archive(spark, str(tmp_path / "a"))
+    found = warc.audit(records, warc.read_archive(spark, str(tmp_path / "b"))).collect()
+    lost = {r.name for r in found if r.kind in ("changed", "missing")}
+    if place == "check":
+        assert not found
+    else:
+        order = [r.name for r in records.orderBy("seq").collect()]
+        assert lost and not lost & set(order[: int(len(order) * (place - 0.05))])
+
+
+def test_members_behind_damage_are_read():
+    parts = [gzip.compress(hashlib.sha256(bytes([i])).digest() * 500) for i in range(4)]
+    whole = [gzip.decompress(p) for p in parts]
+    assert warc.inflate(b"".join(parts)) == b"".join(whole)
+    bad = bytearray(parts[1])
+    bad[20] ^= 255
+    out = warc.inflate(parts[0] + bytes(bad) + parts[2] + parts[3])
+    assert out.startswith(whole[0]) and out.endswith(whole[2] + whole[3])
+    assert warc.inflate(parts[0][:-12]) in whole[0] and warc.inflate(b"no gzip") == b"" and warc.inflate(b"") == b""
+
+
 # ---- tokens ----
 
 
