@@ -44,11 +44,16 @@ def fingerprint(text: bytes | None) -> int:
     spans = zip(starts[: len(part) - width + 1].tolist(), ends[width - 1 :].tolist())
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in spans), np.uint64, len(part) - width + 1)
+    return int(majority(hashes).view(np.int64))
+
+
+def majority(hashes: np.ndarray) -> np.uint64:
+    """The SimHash of hashes: a bit is 1 where it is set in over half of them."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 4096):
         bits = np.unpackbits(hashes[at : at + 4096].view(np.uint8), bitorder="little")
         counts += bits.reshape(-1, 64).sum(0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.int64)[0])
+    return np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0]
 
 
 def fingerprints(text: Column) -> Column:
