@@ -20,6 +20,7 @@ ship_by_value(__name__)
 DEFAULT_TOP_K = 5
 QUERIES_PER_BLOCK = 2_048
 CORPUS_ROWS_PER_GROUP = 20_000
+SCORES_AT_ONCE = 1 << 20  # a bound on a task's memory, whatever the number of queries and rows
 NO_KEY = "\x01\x00null"  # stands for a null text key inside a task
 
 
@@ -269,13 +270,20 @@ def _best_of(
     if not k or not len(queries):
         return np.empty((len(queries), 0), keys.dtype), np.empty((len(queries), 0))
     by_key = keys.argsort(kind="stable")
-    scores = queries @ stored[by_key].T
-    last = -np.partition(-scores, k - 1, axis=1)[:, k - 1, None]
+    ordered, few = stored[by_key].T, max(1, SCORES_AT_ONCE // len(stored))
+    parts = [_best_columns(queries[i : i + few] @ ordered, k) for i in range(0, len(queries), few)]
+    columns, scores = (np.concatenate(part) for part in zip(*parts))
+    return keys[by_key][columns], scores
+
+
+def _best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and values of the k largest scores per row; of equal ones the first."""
+    last = np.partition(scores, -k, axis=1)[:, -k, None]
     above, level = scores > last, scores == last
     places_left = k - above.sum(axis=1, keepdims=True)
-    kept = above | (level & (np.cumsum(level, axis=1) <= places_left))
-    columns = np.nonzero(kept)[1].reshape(len(queries), k)
-    return keys[by_key][columns], np.take_along_axis(scores, columns, axis=1)
+    kept = above | (level & (np.cumsum(level, axis=1, dtype=np.int32) <= places_left))
+    columns = np.nonzero(kept)[1].reshape(len(scores), k)
+    return columns, np.take_along_axis(scores, columns, axis=1)
 
 
 def _merge(found, more, k: int):

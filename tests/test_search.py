@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -94,3 +95,20 @@ def test_vectors_that_cannot_be_compared_are_left_out(spark, block):
     found = V.top_k_batch(corpus, queries, k=5, block=block, group=2).collect()
     assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
     assert [tuple(r) for r in V.top_k(corpus, [1.0, 0.0], k=5).collect()] == [("a", 1.0), (None, 0.5)]
+
+
+def test_memory_is_bounded_whatever_meets():
+    """Thousands of queries against a whole group of rows, ties included, without a matrix of all their scores."""
+    rng = np.random.default_rng(0)
+    queries, stored = rng.integers(-2, 3, (3000, 4)).astype(float), rng.integers(-2, 3, (5000, 4)).astype(float)
+    keys = rng.permutation(5000)
+    tracemalloc.start()
+    found, scores = V._best_of(queries, stored, keys, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+    for i in range(0, 3000, 101):
+        product = stored @ queries[i]
+        want = sorted(range(5000), key=lambda j: (-product[j], keys[j]))[:5]
+        got = sorted(zip(-scores[i], found[i]))
+        assert got == [(-product[j], keys[j]) for j in want]
