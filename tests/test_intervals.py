@@ -79,3 +79,18 @@ def test_dates_as_text(spark):
     spans = spark.createDataFrame([("a", "2020-01-01", "2020-02-01"), ("b", "junk", None), ("c", "2020-01-03", "n/d")], "k string, s string, e string")
     on = lambda day: {r.k for r in I.in_force_on(spans, day, "s", "e").collect()}
     assert on("2020-01-02") == {"a", "b"} and on("2021-01-01") == {"b", "c"} and on("not a day") == set()
+
+
+@pytest.mark.parametrize("few", [0, 1, 3, 100])
+def test_keys_of_few_intervals_are_compared_directly(spark, few):
+    rng = random.Random(4)
+    day = lambda: BASE + timedelta(days=rng.randrange(60))
+    events = [(rng.choice("aaab" "cd"), day(), f"e{i % 40}") for i in range(150)] + [("none", BASE, "e")]
+    spans = [(k, *rng.choice([(day(), day()), (None, day()), (day(), None), (None, None)]), f"s{i}") for k, n in zip("abcd", (1, 2, 4, 9)) for i in range(n)]
+    df = met(spark, events, spans * 2, hot_rows=7, few_intervals=few)
+    assert sorted(map(tuple, df.collect()), key=str) == brute(events, spans * 2)
+
+
+def test_few_intervals_do_not_multiply_events(spark):
+    df = met(spark, [("1", BASE, "e")], [("1", None, None, "x"), ("1", BASE, BASE, "y")])
+    assert df.count() == 2 and "_piece" not in df._jdf.queryExecution().toString()
