@@ -115,8 +115,7 @@ def search_corpus(t: Tables) -> DataFrame:
 def text_search(t: Tables) -> DataFrame:
     """Documents closest to the text of a benchmark item."""
     plans = V.corpus(spread(t.documents).withColumnRenamed("text", "search_context"))
-    encoder = V.HashedTermEncoder.fit(plans, "search_context")
-    vectors = encoder.encode(plans, "search_context").select("doc_id", "embedding")
+    encoder, vectors = V.HashedTermEncoder.fit_encode(plans, "search_context", "doc_id")
     asked = t.benchmark.agg(F.min("text")).first()[0]
     return V.search(encoder, vectors, asked, key="doc_id").select("doc_id", _rounded())
 
@@ -125,10 +124,9 @@ def text_search(t: Tables) -> DataFrame:
 def text_search_batch(t: Tables) -> DataFrame:
     """Documents closest to each benchmark item."""
     plans = V.corpus(spread(t.documents).withColumnRenamed("text", "search_context"))
-    encoder = V.HashedTermEncoder.fit(plans, "search_context")
-    vectors = encoder.encode(plans, "search_context").select("doc_id", "embedding")
+    encoder, vectors = V.HashedTermEncoder.fit_encode(plans, "search_context", "doc_id")
     asked = encoder.encode(t.benchmark, "text").select("item_id", "embedding")
-    found = V.top_k_batch(vectors, asked, key="doc_id", query_key="item_id")
+    found = V.top_k_batch(vectors, asked, key="doc_id", query_key="item_id", width=encoder.width)
     return found.select("item_id", "doc_id", _rounded(), "rank")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from probity import functions as P
 from probity._shipping import ship_by_value
+from probity.sources.layers import stage
 
 ship_by_value(__name__)
 
@@ -26,7 +27,7 @@ NO_KEY = "\x01\x00null"  # stands for a null text key inside a task
 
 def corpus(df: DataFrame, text: str = "search_context") -> DataFrame:
     """Rows whose text is more than white space."""
-    return df.where(F.col(text).isNotNull() & (P.strip_spaces(text) != ""))
+    return df.where(F.col(text).rlike(r"(?U)\S"))
 
 
 # ---------------------------------------------------------------- encoders
@@ -44,7 +45,7 @@ class HashedTermEncoder:
     """
 
     def __init__(self, weights: IDFModel, slots: int):
-        self._weights = weights
+        self._weights, self.width = weights, slots
         self._terms = HashingTF(inputCol="_words", outputCol="_terms", numFeatures=slots)
         self._unit = Normalizer(inputCol="_weighted", outputCol="_unit", p=2.0)
 
@@ -54,8 +55,20 @@ class HashedTermEncoder:
         counted = terms.transform(df.select(_words(text).alias("_words")))
         return cls(IDF(inputCol="_terms", outputCol="_weighted").fit(counted), slots)
 
+    @classmethod
+    def fit_encode(
+        cls, df: DataFrame, text: str, key: str, slots: int = 512, output: str = "embedding"
+    ) -> tuple[HashedTermEncoder, DataFrame]:
+        """The fitted encoder, and ``key, output`` of the rows it learned from; each text is split once."""
+        terms = HashingTF(inputCol="_words", outputCol="_terms", numFeatures=slots)
+        counted = stage(terms.transform(df.select(key, _words(text).alias("_words"))).drop("_words"), "terms")
+        encoder = cls(IDF(inputCol="_terms", outputCol="_weighted").fit(counted), slots)
+        return encoder, encoder._weighed(counted, output)
+
     def encode(self, df: DataFrame, text: str, output: str = "embedding") -> DataFrame:
-        counted = self._terms.transform(df.withColumn("_words", _words(text)))
+        return self._weighed(self._terms.transform(df.withColumn("_words", _words(text))), output)
+
+    def _weighed(self, counted: DataFrame, output: str) -> DataFrame:
         unit = self._unit.transform(self._weights.transform(counted))
         return unit.withColumn(output, vector_to_array("_unit", "float32")).drop(
             "_words", "_terms", "_weighted", "_unit"
@@ -84,8 +97,10 @@ class PandasEncoder:
 
 
 def _words(text: str) -> Column:
-    folded = F.lower(P.fold_accents(F.coalesce(F.col(text), F.lit(""))))
-    return F.filter(F.split(folded, r"[^\p{L}\p{N}]+"), lambda word: word != "")
+    # texts of ASCII only, which are cheap to tell, have no accents to fold
+    plain = F.length(text) == F.octet_length(text)
+    folded = F.lower(F.when(plain, F.col(text)).otherwise(P.fold_accents(F.coalesce(F.col(text), F.lit("")))))
+    return F.array_remove(F.split(folded, r"[^\p{L}\p{N}]+"), "")
 
 
 # ---------------------------------------------------------------- vectors

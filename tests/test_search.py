@@ -6,7 +6,10 @@ import tracemalloc
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from probity.operators import search as V
+from probity.sources.layers import spread
 
 TEXTS = [
     ("k1", "puentes nuevos sobre el río, caminos para los pueblos altos"),
@@ -112,3 +115,30 @@ def test_memory_is_bounded_whatever_meets():
         want = sorted(range(5000), key=lambda j: (-product[j], keys[j]))[:5]
         got = sorted(zip(-scores[i], found[i]))
         assert got == [(-product[j], keys[j]) for j in want]
+
+
+def test_fit_encode_splits_each_text_once(spark):
+    rows = [(1, "Árbol  y ñandú, 2 niños"), (2, "plain TEXT; text"), (3, ""), (4, " \u00a0\n"), (None, "árbol plain"), (6, None)]
+    df = spark.createDataFrame(rows, "k long, text string")
+    encoder, found = V.HashedTermEncoder.fit_encode(df, "text", "k", slots=64)
+    want = V.HashedTermEncoder.fit(df, "text", slots=64).encode(df, "text").select("k", "embedding")
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+    assert encoder.width == 64 and "split" not in found._jdf.queryExecution().toString()
+    assert sorted(r.k or 0 for r in V.corpus(df, "text").collect()) == [0, 1, 2]
+
+
+def test_a_row_group_in_many_pieces_is_spread(spark, tmp_path):
+    """A file cut into pieces, of which one holds all rows, is work for more than one task."""
+    spark.range(40_000).selectExpr("id", "sha2(string(id), 512) text").coalesce(1).write.parquet(str(tmp_path / "t"))
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for c in before:
+            spark.conf.set(c, str(size // 10))
+        df = spark.read.parquet(str(tmp_path / "t"))
+        assert df.rdd.getNumPartitions() >= 8
+        held = spread(df).select("id", F.spark_partition_id().alias("p"))
+        assert held.select("p").distinct().count() == 8 and held.select("id").distinct().count() == 40_000
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
