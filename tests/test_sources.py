@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 
@@ -210,3 +211,23 @@ def test_sections_under_domain_names(spark, tmp_path):
     assert (person.id_hoja_vida, person.dni, person.partido) == (7, "12345678", None)
     summary = candidate_summary(df).first()
     assert (summary.total_ingresos, summary.num_propiedades, summary.tiene_antecedentes) == (1200.5, 1, False)
+
+
+def test_first_lines_are_found_without_sorting(spark, tmp_path, monkeypatch):
+    """Of many files, some longer than a block and some in one task, by hash aggregates only."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from probity.sources import registry
+
+    files = {str(tmp_path / f"CONOSCE {i}"): [f"head {i}", *(f"{9 - i} row {j}" for j in range(500 * i))] for i in range(6)}
+    for path, lines in files.items():
+        Path(path).write_text("\n".join(lines) + "\n")
+    plans, real = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: plans.append(df._jdf.queryExecution().toString()) or real(df))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        assert registry._first_lines(spark, list(files)) == {p: lines[0] for p, lines in files.items()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert plans and not any("SortAggregate" in p for p in plans)
