@@ -161,8 +161,8 @@ def viterbi(codes: np.ndarray, lengths: np.ndarray, scores: np.ndarray, model: M
     return path
 
 
-def label(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray, list[list[tuple]]]:
-    """Language, share of its letters, and spans of words (first, last, language) per text."""
+def label(texts: list[str | None], model: Model, spanned: bool = True) -> tuple[list[str], np.ndarray, list[list[tuple]]]:
+    """Language, share of its letters, and spans of words (first, last, language) per text, none unless ``spanned``."""
     known = Codes()
     coded = [np.fromiter(map(known.__getitem__, letters(t)), np.int32) if t else np.zeros(0, np.int32) for t in texts]
     vocabulary = list(known)
@@ -180,15 +180,18 @@ def label(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray,
     sums = np.bincount(text_of * count + path, weight, len(texts) * count).reshape(-1, count)
     winner = sums.argmax(1)
     share = sums.max(1) / np.maximum(sums.sum(1), 1)
+    names = [model.languages[w] if n else UNKNOWN for w, n in zip(winner.tolist(), lengths.tolist())]
+    share = np.where(lengths > 0, share, 0.0)
+    spans: list[list[tuple]] = [[] for _ in texts]
+    if not spanned:
+        return names, share, spans
     begins = np.concatenate(([True], (path[1:] != path[:-1]) | (text_of[1:] != text_of[:-1])))
     first = np.nonzero(begins)[0]
     last = np.concatenate((first[1:], [len(path)])) - 1
     offset = np.cumsum(lengths) - lengths
-    spans: list[list[tuple]] = [[] for _ in texts]
     for d, a, b, l in zip(text_of[first].tolist(), first.tolist(), last.tolist(), path[first].tolist()):
         spans[d].append((a - int(offset[d]), b - int(offset[d]), model.languages[l]))
-    names = [model.languages[w] if n else UNKNOWN for w, n in zip(winner.tolist(), lengths.tolist())]
-    return names, np.where(lengths > 0, share, 0.0), spans
+    return names, share, spans
 
 
 def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Model:
@@ -275,3 +278,14 @@ def found(text: Column, model: Model) -> Column:
             yield pd.DataFrame({"lang_pred": names, "score": np.array(share, float), "spans": spans})
 
     return run(text)
+
+
+def language_of(text: Column, model: Model) -> Column:
+    """Only the ``lang_pred`` of :func:`found`: no span is made or sent."""
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([x for group in slices(batch.tolist(), SLICE_CHARS) for x in label(group, model, spanned=False)[0]], dtype=object)
+
+    return run(text)

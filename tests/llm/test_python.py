@@ -404,3 +404,11 @@ def test_tokens_of_real_rows(spark, folder, encoder):
     rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect())
     got = queries.op10_token_ids(spark, folder).collect()
     assert sorted(map(tuple, got)) == brute_tokens(encoder, rows)
+
+
+def test_language_without_spans(spark, folder, model):
+    """The pipeline's label is that of the operator, though no span is made for it."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    both = docs.select(language.found(F.col("text"), model).alias("f"), language.language_of(F.col("text"), model).alias("only"))
+    assert both.count() and both.where("f.lang_pred <> only OR only IS NULL").count() == 0
+    assert language.label(["some plain words", None], model, spanned=False)[2] == [[], []]

@@ -231,3 +231,12 @@ def test_first_lines_are_found_without_sorting(spark, tmp_path, monkeypatch):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert plans and not any("SortAggregate" in p for p in plans)
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    """What a write shuffled goes with it, and the session's own setting stays."""
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    files = lambda: {f for f in blocks.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    before, had = files(), spark.conf.get(Y.CLEANUP)
+    assert Y.stage(spark.range(1000).groupBy(F.col("id") % 10).count(), "shuffled").limit(99).collect()
+    assert not files() - before and spark.conf.get(Y.CLEANUP) == had
