@@ -1,6 +1,6 @@
 """Exact medians and spreads of all groups at once, however large one group and however many there are.
 
-Groups of few rows are sorted each on its own. For all others together, a pass counts rows per
+Groups of few rows are sorted each on its own, once for median and spread. For all others together, a pass counts rows per
 group and bucket of the interval that still holds the group's middle ranks, and narrows every
 interval to the bucket that holds them. So a group that holds a third of all rows is summed where
 its rows lie, and the passes are as many as the most obstinate group needs.
@@ -50,19 +50,43 @@ def grouped_medians(df: DataFrame, by: Sequence[str], value: str | Column, few_r
     Null and NaN are no values; groups without a value have no row. A null key is a group like any
     other. Infinite values have a rank.
     """
+    by = list(by)
     with own_work(df.sparkSession) as keep:
-        return keep(_medians(df, list(by), value, few_rows), "grouped-medians")
+        values = _values(df, by, value)
+        large = _large(values, by, few_rows)
+        small = _sorted(values, large, by).select(*by, F.size("_l").cast("long").alias("n"), _middle(F.col("_l")).alias("median"))
+        return keep(small.unionAll(_medians(values, large, by, few_rows)), "grouped-medians")
 
 
-def _medians(df: DataFrame, by: list[str], value: str | Column, few_rows: int) -> DataFrame:
+def _values(df: DataFrame, by: list[str], value: str | Column) -> DataFrame:
     value = F.col(value) if isinstance(value, str) else value
     values = df.select(*by, value.cast("double").alias("_x")).where("_x IS NOT NULL AND NOT isnan(_x)")
-    values = stage(values, "grouped-values")
-    sizes = stage(values.groupBy(*by).agg(F.count("*").alias("_n")), "group-sizes")
+    return stage(values, "grouped-values")
+
+
+def _large(values: DataFrame, by: list[str], few_rows: int) -> DataFrame:
+    """The groups of more values than one task may sort, and how many each has; there are few of them."""
+    return stage(values.groupBy(*by).agg(F.count("*").alias("_n")).where(F.col("_n") > few_rows), "large-groups")
+
+
+def _sorted(values: DataFrame, large: DataFrame, by: list[str]) -> DataFrame:
+    """The sorted values ``_l`` of every other group. They are dealt out first: no list is begun where rows lie."""
+    other = _renamed(large, by)
+    few = values.join(other, _same_group(by, values, other), "left_anti").repartition(*by)
+    return few.groupBy(*by).agg(F.sort_array(F.collect_list("_x")).alias("_l"))
+
+
+def _middle(values: Column) -> Column:
+    """The median of a sorted list, null for the empty one."""
+    n = F.size(values)
+    return _midpoint(*[F.get(values, rank.cast("int")) for rank in ((n - 1) / 2, n / 2)])
+
+
+def _medians(values: DataFrame, large: DataFrame, by: list[str], few_rows: int) -> DataFrame:
+    """``by``, ``n`` and ``median`` of large groups."""
     ranks = [((F.col("_n") - 1) / 2).cast("long").alias("_r1"), (F.col("_n") / 2).cast("long").alias("_r2")]
-    state = sizes.select(*by, F.lit(-INFINITE).alias("_lo"), F.lit(INFINITE).alias("_hi"), *ranks, "_n")
-    to_sort, found = [state.where(F.col("_n") <= few_rows)], []
-    state = stage(state.where(F.col("_n") > few_rows), "open-groups")
+    state = large.select(*by, F.lit(-INFINITE).alias("_lo"), F.lit(INFINITE).alias("_hi"), *ranks, "_n")
+    to_sort, found = [state.limit(0)], []
     while state.limit(1).count():
         step = stage(_narrowed(values, state, by), "narrowed-groups")
         found.append(step.where("_median IS NOT NULL").select(*by, "_median"))
@@ -77,7 +101,7 @@ def _medians(df: DataFrame, by: list[str], value: str | Column, few_rows: int) -
     middle = [F.get("_l", F.col(r).cast("int")) for r in ("_r1", "_r2")]
     found.append(few.select(*by, _midpoint(*middle).alias("_median")))
     medians = _renamed(reduce(DataFrame.unionAll, found), by)
-    return sizes.join(medians, _same_group(by, sizes, medians)).select(*by, F.col("_n").alias("n"), F.col("_median").alias("median"))
+    return large.join(medians, _same_group(by, large, medians)).select(*by, F.col("_n").alias("n"), F.col("_median").alias("median"))
 
 
 def _narrowed(values: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
@@ -110,10 +134,17 @@ def grouped_median_and_mad(df: DataFrame, by: Sequence[str], value: str | Column
     The distance of an infinite value to an infinite median is no value; a group that has no distance has no ``mad``.
     """
     by = list(by)
-    value = F.col(value) if isinstance(value, str) else value
-    medians = grouped_medians(df, by, value, few_rows)
-    rows = df.select(*by, value.cast("double").alias("_v"))
-    other = _renamed(medians, by)
-    away = rows.join(other, _same_group(by, rows, other)).select(*by, F.abs(F.col("_v") - F.col("median")).alias("_away"))
-    spread = _renamed(grouped_medians(away, by, "_away", few_rows).select(*by, F.col("median").alias("mad")), by)
-    return medians.join(spread, _same_group(by, medians, spread), "left").select(*by, "n", "median", "mad")
+    with own_work(df.sparkSession) as keep:
+        values = _values(df, by, value)
+        large = _large(values, by, few_rows)
+        # a small group is sorted once, for both
+        small = _sorted(values, large, by).withColumn("median", _middle(F.col("_l")))
+        away = F.transform("_l", lambda x: F.abs(x - F.col("median")))
+        small = small.withColumn("_away", F.sort_array(F.filter(away, lambda x: ~F.isnan(x))))
+        small = small.select(*by, F.size("_l").cast("long").alias("n"), "median", _middle(F.col("_away")).alias("mad"))
+        medians = stage(_medians(values, large, by, few_rows), "large-medians")
+        other = _renamed(medians, by)
+        away = values.join(other, _same_group(by, values, other)).select(*by, F.abs(F.col("_x") - F.col("median")).alias("_away"))
+        spread = _renamed(grouped_medians(away, by, "_away", few_rows).select(*by, F.col("median").alias("mad")), by)
+        spread = medians.join(spread, _same_group(by, medians, spread), "left").select(*by, "n", "median", "mad")
+        return keep(small.unionAll(spread), "grouped-spreads")

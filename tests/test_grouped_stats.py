@@ -56,3 +56,12 @@ def test_several_keys_and_nothing(spark):
     got = sorted((tuple(r) for r in G.grouped_medians(df, ["k", "l"], "x").collect()), key=str)
     assert got == [(1, "a", 1, 2.0), (1, None, 2, 5.0)]
     assert G.grouped_median_and_mad(df.limit(0), ["k"], "x").count() == 0
+
+
+def test_rows_of_small_groups_are_written_once(spark, monkeypatch):
+    """Median and spread of a small group come from one list: only large groups are read again for the spread."""
+    rows = [(f"t{i % 50}", float(i)) for i in range(500)] + [("hot", float(i * i)) for i in range(100)]
+    seen, real = [], G.stage
+    monkeypatch.setattr(G, "stage", lambda df, name: seen.append((name, out := real(df, name), out.count())) or out)
+    assert found(spark, rows, few_rows=20) == brute(rows)
+    assert [n for name, _, n in seen if name == "grouped-values"] == [600, 100]
