@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from probity import functions as P
-from probity.sources.layers import delete, read_layer, stage, work_path, write_layer
+from probity.sources.layers import delete, own_work, read_layer, stage, work_path, write_layer
 
 from .fuzzy import similar_pairs
 
@@ -25,27 +25,47 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Nodes can be of any type that has an order. Links to itself and links with a null on a side
     connect nothing, but the side that is not null is a node. Each round hangs every node's larger
-    neighbours on its least one, then does the same with the smaller ones, until each tree is a
-    star. A round aggregates least nodes, which tasks combine before they shuffle, and joins them
-    back to the links; no node's links are ever gathered. Rounds grow with the logarithm of the
-    longest chain, and each is written before the next and deleted after it.
+    neighbours on its least one, then does the same with the smaller ones, which makes each tree a
+    star in the end. A round aggregates least nodes, which tasks combine before they shuffle, and
+    joins them back to the links; no node's links are ever gathered. Larger nodes with one link left
+    belong where that goes, whatever becomes of it, and leave the rounds with it, so that a round
+    costs what is still open and not all links. Rounds grow with the logarithm of the longest
+    chain, and each is written before the next; all are deleted at the end.
     """
     spark = links.sparkSession
     pair = links.select(F.col(a).alias("u"), F.col(b).alias("v"))
     nodes = pair.select(F.col("u").alias("node")).union(pair.select("v")).where("node IS NOT NULL").distinct()
-    edges = _written(pair.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    state = None
+    with own_work(spark) as keep:
+        points = keep(_pointed(pair.where("u <> v")), "identity-links")
+    return nodes.join(points, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def _pointed(pair: DataFrame) -> DataFrame:
+    """``node, component`` of every node that is not the least of its component."""
+    spark = pair.sparkSession
+    edges = _written(pair.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    rounds = []
     while True:
-        hung = _hung(edges)
-        step = _written(hung)
-        now = tuple(step[0].agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        marked = _written(_marked(edges[0]))[0]
         delete(spark, edges[1])
-        edges = step
-        if now == state:
+        rounds.append(marked.where("leaf").select("u", "v"))
+        rest = marked.where("NOT leaf").select("u", "v")
+        if not rest.limit(1).count():
             break
-        state = now
-    points = edges[0].select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return nodes.join(points, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+        edges = _written(_hung(rest))
+    # the last to leave hang on components; those before them on one of these or on a component
+    points = rounds[-1].toDF("node", "component")
+    for left in reversed(rounds[:-1]):
+        known = left.withColumnRenamed("u", "of").join(points, F.col("v") == F.col("node"), "left")
+        found = stage(known.select(F.col("of").alias("node"), F.coalesce("component", "v").alias("component")), "components")
+        points = points.unionAll(found)
+    return points
+
+
+def _marked(edges: DataFrame) -> DataFrame:
+    """Links (u, v) with u > v, and whether ``leaf`` u has no other one."""
+    once = edges.select("u").unionAll(edges.select("v")).groupBy("u").agg(F.count("*").alias("n")).where("n = 1")
+    return edges.join(once, "u", "left").select("u", "v", F.col("n").isNotNull().alias("leaf"))
 
 
 def _written(df: DataFrame) -> tuple[DataFrame, str]:
@@ -54,9 +74,8 @@ def _written(df: DataFrame) -> tuple[DataFrame, str]:
     return read_layer(df.sparkSession, path, df.schema), path
 
 
-def _hung(edges: tuple[DataFrame, str]) -> DataFrame:
+def _hung(links: DataFrame) -> DataFrame:
     """Both steps of a round over links (u, v) with u > v."""
-    links = edges[0]
     both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     large = both.where("v > u").join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

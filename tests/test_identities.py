@@ -118,3 +118,13 @@ def test_rounds_are_deleted(spark):
     before = len(matches(spark, f"{work_folder(spark)}/identity-links-*"))
     I.connected(spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "a long, b long")).count()
     assert len(matches(spark, f"{work_folder(spark)}/identity-links-*")) == before + 1
+
+
+def test_rounds_cost_what_is_open(spark, monkeypatch):
+    """A hub's links leave the rounds at once, however many a chain beside it still takes."""
+    links = [(0, i) for i in range(1, 2001)] + [(i, i + 1) for i in range(5000, 5100)]
+    sizes, real = [], I._written
+    monkeypatch.setattr(I, "_written", lambda df: (out := real(df), sizes.append(out[0].count()))[0])
+    got = {r.node: r.component for r in I.connected(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == brute(links)
+    assert sizes[0] == 2100 and max(sizes[2:]) <= 200
