@@ -17,6 +17,10 @@ and its how-maniest occurrence). If two bags of ``a`` and ``b`` tokens share ``m
 the ``a - m + 1`` rarest of one and the ``b - m + 1`` rarest of the other share at least
 one (prefix filtering of set-similarity joins), so only these become keys. A key so
 frequent that one task could not compare it is spread over a grid of cells.
+
+The lower the threshold, the more pairs are left to be scored. Where only the best match counts,
+names are held against a higher threshold first, and those that reach it are done: every
+pair at least as good was scored there.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from .similarity import PREFIX_LENGTH, PREFIX_WEIGHT, jaro_winkler
 
 MIN_QUERY_LENGTH = 3
 LONGEST = 1 << 30  # stands for no bound on a length
+STEP, HIGHEST = 0.06, 0.86  # least step between the thresholds that names are held against, and where they begin
 BROADCAST_NAMES = 20_000
 BROADCAST_BYTES = 4 << 20
 CELL_ROWS = 20_000
@@ -63,13 +68,19 @@ def best_matches(
         "name", F.col("name").alias("match"), F.lit(1.0).alias("score")
     )
     rest = names.join(choices.select("name"), "name", "left_anti")
-    scored = _scored(rest, names, choices, threshold, broadcast_names, cell_rows)
-    best = (
-        scored.groupBy("name")
-        .agg(F.min(F.struct((-F.col("score")).alias("s"), "match")).alias("best"))
-        .select("name", F.col("best.match").alias("match"), (-F.col("best.s")).alias("score"))
-    )
-    return same.unionByName(best)
+    found = same
+    for level in _levels(threshold):
+        scored = _scored(rest, names, choices, level, broadcast_names, cell_rows)
+        best = (
+            scored.groupBy("name")
+            .agg(F.min(F.struct((-F.col("score")).alias("s"), "match")).alias("best"))
+            .select("name", F.col("best.match").alias("match"), (-F.col("best.s")).alias("score"))
+        )
+        if level > threshold:
+            best = stage(best, "best-matches")
+            rest = rest.join(best.select("name"), "name", "left_anti")
+        found = found.unionByName(best)
+    return found
 
 
 def similar_pairs(
@@ -96,6 +107,15 @@ def _checked(names: DataFrame, threshold: float) -> DataFrame:
     return names
 
 
+def _levels(threshold: float) -> list[float]:
+    """Thresholds from ``HIGHEST`` down in steps that double, the one asked for last."""
+    levels, step = [threshold], STEP
+    while levels[0] + step <= HIGHEST + _TOLERANCE:
+        levels.insert(0, levels[0] + step)
+        step *= 2
+    return levels
+
+
 def _scored(
     asked: DataFrame, names: DataFrame, choices: DataFrame, threshold: float, broadcast_names: int, cell_rows: int
 ) -> DataFrame:

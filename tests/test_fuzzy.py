@@ -5,7 +5,7 @@ import random
 import pandas as pd
 import pytest
 
-from probity.operators import linking as L
+from probity.operators import fuzzy, linking as L
 from probity.operators.fuzzy import best_matches
 from probity.operators.similarity import jaro_winkler_pairs
 
@@ -100,6 +100,25 @@ def test_join_equals_brute_force(spark, threshold, alphabet, low, high, broadcas
     assert got == best_by_brute_force(names, choices, threshold)
 
 
+def test_names_with_a_good_match_are_not_scored_at_lower_thresholds(spark, monkeypatch):
+    rnd = random.Random(11)
+    names, choices = some_names(rnd, 80, "ABCDE", 3, 12), some_names(rnd, 60, "ABCDE", 1, 12)
+    asked, scored = {}, fuzzy._scored
+
+    def spy(rest, every, offered, level, *limits):
+        asked[level] = {r.name for r in rest.collect()}
+        return scored(rest, every, offered, level, *limits)
+
+    monkeypatch.setattr(fuzzy, "_scored", spy)
+    frames = (spark.createDataFrame([(n,) for n in side], "name string") for side in (names, choices))
+    got = {tuple(r) for r in best_matches(*frames, threshold=0.7).collect()}
+    assert got == best_by_brute_force(names, choices, 0.7)
+    first, last = max(asked), min(asked)
+    assert last == 0.7 < first
+    good = {name for name, _, score in got if score >= first}
+    assert good & asked[first] and not good & asked[last] and asked[last] < asked[first]
+
+
 def test_equal_scores_take_the_smallest_match(spark):
     names = spark.createDataFrame([("MARTHA",)], "name string")
     choices = spark.createDataFrame([("MARTHB",), ("MARTHC",)], "name string")
